@@ -31,7 +31,7 @@ from tripmart.operators.quality import (
 )
 from tripmart.plans.silver import build_silver, silver_trips
 from tripmart.schema import DATASETS, IDENTIFIERS, UNIFIED
-from tripmart.session import prepare, shared_folder
+from tripmart.session import in_parallel, prepare, shared_folder
 from tripmart.sources import derived
 from tripmart.sources.lake import (
     materialise,
@@ -163,7 +163,8 @@ def quality_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _silver_history(spark: SparkSession, sf_dir: str) -> str:
     """Gated silver of the whole history of all services; returns its folder."""
     target = shared_folder(spark, "silver")
-    for dataset in DATASETS:
+
+    def build(dataset: str) -> None:
         build_silver(
             [derived.raw_lines(spark, sf_dir, dataset)],
             dataset,
@@ -173,6 +174,8 @@ def _silver_history(spark: SparkSession, sf_dir: str) -> str:
             derived.LINE_BOUNDS,
             RULES,
         )
+
+    in_parallel(spark, build, DATASETS, 3)
     return target
 
 

@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +23,7 @@ from tripmart.operators.planning import (
 from tripmart.operators.quality import SILVER_RULES, Rule
 from tripmart.plans.silver import build_silver
 from tripmart.schema import DATASETS
-from tripmart.session import prepare
+from tripmart.session import FILE_SIZING, in_parallel, prepare
 from tripmart.sources.lake import append_rows, materialise, publish_view, unified_trips
 from tripmart.sources.raw import land, scan_raw
 from tripmart.sources.registry import read_events, record
@@ -131,17 +129,11 @@ def _clean_dataset(
     return errors
 
 
-def _in_parallel(spark: SparkSession, task, items: list, workers: int) -> list:
-    """Independent Spark jobs from driver threads; executors share the work."""
-    with ThreadPoolExecutor(workers) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(task), items))
-
-
 def build_marts(
     spark: SparkSession, trips: DataFrame, zones: Zones, root: str, names: Iterable[str]
 ) -> None:
     """Rebuild the named datamarts from all history."""
-    _in_parallel(
+    in_parallel(
         spark,
         lambda name: materialise(MARTS[name](trips, zones), f"{root.rstrip('/')}/{name}"),
         list(names),
@@ -165,7 +157,7 @@ def run(
     The marts are rebuilt on every run, also when nothing was due, and only
     when no dataset failed.
     """
-    prepare(spark)
+    prepare(spark, FILE_SIZING)
     pepper = configured_pepper(spark)
     plan = plan_run(spark, lake, as_of, datasets, whole_backlog)
     landings = land(spark, plan, lake.source, lake.table("bronze"))
@@ -185,7 +177,7 @@ def run(
     for x in landings:
         if x.ok:
             landed.setdefault(x.dataset, []).append(x.period)
-    for more in _in_parallel(
+    for more in in_parallel(
         spark,
         lambda item: _clean_dataset(spark, lake, item[0], item[1], pepper),
         list(landed.items()),

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Result-relevant: wall-clock arithmetic and the period bounds are in UTC.
@@ -30,9 +33,9 @@ FILE_SIZING = {
 }
 
 
-def prepare(spark: SparkSession) -> SparkSession:
+def prepare(spark: SparkSession, more: dict[str, str] | None = None) -> SparkSession:
     """Apply the settings to a session the caller already owns."""
-    for key, value in {**_SEMANTICS, **_ADAPTIVE}.items():
+    for key, value in {**_SEMANTICS, **_ADAPTIVE, **(more or {})}.items():
         spark.conf.set(key, value)
     return spark
 
@@ -54,6 +57,12 @@ def cluster_session(app_name: str = "tripmart", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def in_parallel(spark: SparkSession, task: Callable, items: Iterable, workers: int) -> list:
+    """Submit independent Spark jobs from driver threads; results keep the order."""
+    with ThreadPoolExecutor(workers) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(task), items))
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared one named by ``spark.checkpoint.dir``.
 

@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.functions.periods import FILE_PREFIX, next_month
+from tripmart.functions.periods import landing_folder, next_month, period_start, source_file
 from tripmart.operators.align import lower_names
 from tripmart.operators.clean import Span
 from tripmart.schema import DATASETS, check_dataset
+from tripmart.session import in_parallel
 from tripmart.sources.files import Folder
 
 
@@ -62,31 +61,29 @@ def land(
     """
     lake = Folder(spark, raw_root)
     aside = f"_staging/{uuid.uuid4().hex}"
-    landed = landed_periods(spark, raw_root)
-    todo = plan.join(
-        landed.withColumn("landed", F.lit(True)), ["dataset", "period"], "left"
-    ).select("dataset", "period", F.coalesce("landed", F.lit(False)).alias("landed"))
+    landed = landed_periods(spark, raw_root).withColumn("landed", F.lit(True))
+    name, day = F.col("dataset"), period_start(F.col("period"))
+    todo = plan.join(landed, ["dataset", "period"], "left").select(
+        "dataset",
+        "period",
+        F.coalesce("landed", F.lit(False)).alias("landed"),
+        source_file(name, day, source_root).alias("source"),
+        landing_folder(name, day).alias("folder"),
+    )
 
     def one(row) -> Landing:
-        dataset, period = check_dataset(row["dataset"]), row["period"]
         if row["landed"]:
-            return Landing(dataset, period, "skipped")
-        year, month = period.split("-")
-        folder = f"{dataset}/year={year}/month={month}"
-        staged = f"{lake.path}/{aside}/{folder}"
-        source = f"{source_root.rstrip('/')}/{FILE_PREFIX[dataset]}_{period}.parquet"
+            return Landing(row["dataset"], row["period"], "skipped")
+        staged = f"{lake.path}/{aside}/{row['folder']}"
         try:
-            spark.read.parquet(source).write.parquet(staged)
-            lake.move_here(staged, folder, f"{lake.path}/{aside}/replaced/{folder}")
+            spark.read.parquet(row["source"]).write.parquet(staged)
+            lake.move_here(staged, row["folder"], f"{lake.path}/{aside}/old/{row['folder']}")
         except Exception as error:  # recorded per month; the others go on
-            return Landing(dataset, period, f"{type(error).__name__}: {error}", ok=False)
-        return Landing(dataset, period, "ingested")
-
-    rows = sorted(todo.collect(), key=lambda r: (r["dataset"], r["period"]))
-    for row in rows:
-        check_dataset(row["dataset"])
-    with ThreadPoolExecutor(parallel) as pool:
-        outcomes = list(pool.map(inheritable_thread_target(spark)(one), rows))
+            reason = f"{type(error).__name__}: {error}"
+            return Landing(row["dataset"], row["period"], reason, ok=False)
+        return Landing(row["dataset"], row["period"], "ingested")
+
+    outcomes = in_parallel(spark, one, todo.orderBy("dataset", "period").collect(), parallel)
     lake.delete(aside)
     return outcomes
 
@@ -113,9 +110,8 @@ def scan_raw(
         return tuple((f.name.lower(), f.dataType.json()) for f in schema.fields)
 
     groups: dict[tuple, list[str]] = {}
-    with ThreadPoolExecutor(8) as pool:
-        for month, key in zip(months, pool.map(inheritable_thread_target(spark)(shape), months)):
-            groups.setdefault(key, []).append(f"{root}/{month}")
+    for month, key in zip(months, in_parallel(spark, shape, months, 8)):
+        groups.setdefault(key, []).append(f"{root}/{month}")
     return [
         lower_names(spark.read.option("basePath", root).parquet(*folders))
         for folders in groups.values()
