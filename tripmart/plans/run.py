@@ -113,7 +113,7 @@ def _clean_dataset(
                     F.lit(names[-1]).alias("last_period"),
                     F.lit(stamp).alias("evaluated_at"),
                     "*",
-                ).coalesce(1),
+                ),
                 lake.table("quality"),
             )
             status = "DONE"

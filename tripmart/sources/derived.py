@@ -49,9 +49,11 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .withColumns(
             {
-                "fare": F.col("l_extendedprice").cast("decimal(12,2)"),
-                "off": F.col("l_discount").cast("decimal(4,2)"),
-                "levy": F.col("l_tax").cast("decimal(4,2)"),
+                # Whole cents and per cents: exact products without a decimal
+                # object per row.
+                "cents": F.rint(F.col("l_extendedprice") * 100).cast("long"),
+                "off": F.rint(F.col("l_discount") * 100).cast("long"),
+                "levy": F.rint(F.col("l_tax") * 100).cast("long"),
                 "pu": (F.col("c_nationkey") + 1).cast("long"),
                 "do": (F.col("s_nationkey") + 1).cast("long"),
             }
@@ -64,17 +66,17 @@ def _service(flag: Column) -> Column:
     return name.when(flag == "R", "fhvhv")
 
 
+def _money(units: Column, scale: int) -> Column:
+    """Exact decimal from a whole number of units of ``10 ** -scale``."""
+    step = F.lit(f"{10 ** -scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")
+    return units.cast("decimal(18,0)") * step
+
+
 def line_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid trips of all services over the whole order history."""
-    one = F.lit(1).cast("decimal(4,2)")
-    total = (
-        F.col("fare")
-        * (one - F.col("off")).cast("decimal(4,2)")
-        * (one + F.col("levy")).cast("decimal(4,2)")
-    )
-    pay = F.when(
-        F.col("l_returnflag") == "R", F.col("fare") * F.lit("0.75").cast("decimal(3,2)")
-    )
+    cents, off, levy = F.col("cents"), F.col("off"), F.col("levy")
+    total = _money(cents * (100 - off) * (100 + levy), 6)
+    pay = F.when(F.col("l_returnflag") == "R", _money(cents * 75, 4))
     pickup = F.col("o_orderdate").cast("timestamp")
     dropoff = F.col("l_shipdate").cast("timestamp")
     trips = _lines(spark, sf_dir).select(
@@ -87,8 +89,8 @@ def line_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.unix_timestamp(dropoff) - F.unix_timestamp(pickup))
         .cast("double")
         .alias("trip_duration_sec"),
-        F.col("fare").alias("fare_amount"),
-        (F.col("fare") * F.col("off")).alias("tip_amount"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("fare_amount"),
+        _money(cents * off, 4).alias("tip_amount"),
         total.alias("total_amount"),
         pay.alias("driver_pay"),
     )
@@ -107,8 +109,8 @@ def raw_lines(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
         F.col("l_returnflag") == FLAG[check_dataset(dataset)]
     )
     zero = F.lit(0.0)
-    tip = (F.col("fare") * F.col("off")).cast("double")
-    tax = (F.col("fare") * F.col("levy")).cast("double")
+    tip = F.col("cents") * F.col("off") / 10_000.0
+    tax = F.col("cents") * F.col("levy") / 10_000.0
     places = [F.col("pu").alias("PULocationID"), F.col("do").alias("DOLocationID")]
     if dataset == "fhvhv":
         first = F.col("l_linenumber") == 1
@@ -131,9 +133,7 @@ def raw_lines(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
             zero.alias("congestion_surcharge"),
             F.lit(None).cast("double").alias("airport_fee"),
             tip.alias("tips"),
-            (F.col("fare") * F.lit("0.75").cast("decimal(3,2)"))
-            .cast("double")
-            .alias("driver_pay"),
+            (F.col("cents") * 75 / 10_000.0).alias("driver_pay"),
             F.col("l_linestatus").alias("shared_request_flag"),
         )
     prefix = "tpep" if dataset == "yellow" else "lpep"

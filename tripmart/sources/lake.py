@@ -92,7 +92,19 @@ def overwrite_partitions(df: DataFrame, target: str, *partitions: str) -> None:
 
 
 def append_rows(df: DataFrame, target: str) -> None:
-    df.write.mode("append").parquet(target)
+    """Add a few rows as one file.
+
+    Spark's own append shares one working folder per table, which parallel
+    writers would delete under each other. Here every writer has its own and
+    moves one finished file into the table.
+    """
+    spark = df.sparkSession
+    table, run = Folder(spark, target), f"{_STAGING}/{uuid.uuid4().hex}"
+    staged = f"{table.path}/{run}"
+    df.coalesce(1).write.parquet(staged)
+    for name in Folder(spark, staged).glob("*.parquet"):
+        table.move_here(f"{staged}/{name}", name, f"{staged}/old/{name}")
+    table.delete(run)
 
 
 def materialise(mart: DataFrame, target: str) -> None:

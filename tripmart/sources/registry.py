@@ -26,12 +26,10 @@ def record(
 ) -> None:
     """Append (dataset, period, status, detail) outcomes of one stage.
 
-    Appending needs no lock, so several runs may record at the same time.
+    Appending needs no lock: several threads and runs may record at once.
     """
     at = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
     rows = [(d, p, stage, status, detail, at) for d, p, status, detail in outcomes]
     names = [f.name for f in REGISTRY_EVENT.fields]
     events = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
-    append_rows(
-        events.withColumn("at", F.col("at").cast("timestamp")).coalesce(1), path
-    )
+    append_rows(events.withColumn("at", F.col("at").cast("timestamp")), path)
