@@ -19,11 +19,6 @@ def total(column: str | Column) -> Column:
     return F.sum(column).cast("double")
 
 
-def per_trip(column: str | Column) -> Column:
-    """Sum over all rows of the group, rows without a value counting as zero."""
-    return total(column) / F.count(F.lit(1))
-
-
 def ratio(numerator: Column, denominator: Column, scale: float = 1.0) -> Column:
     """Ratio of two group sums, NULL when the denominator is zero."""
     return F.try_divide(numerator, denominator) * F.lit(scale)

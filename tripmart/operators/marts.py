@@ -17,7 +17,6 @@ from tripmart.functions.measures import (
     TRIPS,
     iso_weekday,
     median,
-    per_trip,
     ratio,
     share_of,
     total,
@@ -38,13 +37,18 @@ def locate(trips: DataFrame, zones: Zones, id_column: str, **names: str) -> Data
     return trips.join(side, F.col(id_column).cast("long") == F.col("_id"), "left").drop("_id")
 
 
-def _sums_by_place(
+def _count(carried: bool) -> Column:
+    """Number of trips: one a row, or carried along by rows that are sums."""
+    return (F.sum(TRIPS) if carried else F.count(F.lit(1))).alias(TRIPS)
+
+
+def sums_by_place(
     trips: DataFrame,
     zones: Zones,
     places: dict[str, dict[str, str]],
     keys: dict[str, Column],
     sums: tuple[str, ...],
-    k: int,
+    carried: bool = False,
 ) -> DataFrame:
     """Trip count and sums per place and key.
 
@@ -54,25 +58,16 @@ def _sums_by_place(
     """
     added = [F.sum(c).alias(c) for c in sums]
     names = [name for cols in places.values() for name in cols]
+    keyed = [column.alias(name) for name, column in keys.items()]
     if zones.small:
         grouped = trips
         for id_column, cols in places.items():
             grouped = locate(grouped, zones, id_column, **cols)
-        keyed = [column.alias(name) for name, column in keys.items()]
-        cells = grouped.groupBy(*keyed, *names).agg(
-            F.count(F.lit(1)).alias(TRIPS), *added
-        )
-    else:
-        keyed = [column.alias(name) for name, column in keys.items()]
-        grouped = trips.groupBy(*keyed, *places).agg(
-            F.count(F.lit(1)).alias(TRIPS), *added
-        )
-        for id_column, cols in places.items():
-            grouped = locate(grouped, zones, id_column, **cols)
-        cells = grouped.groupBy(*keys, *names).agg(
-            F.sum(TRIPS).alias(TRIPS), *added
-        )
-    return suppress_small_cells(cells, k=k)
+        return grouped.groupBy(*keyed, *names).agg(_count(carried), *added)
+    grouped = trips.groupBy(*keyed, *places).agg(_count(carried), *added)
+    for id_column, cols in places.items():
+        grouped = locate(grouped, zones, id_column, **cols)
+    return grouped.groupBy(*keys, *names).agg(_count(True), *added)
 
 
 def _of(name: str) -> Column:
@@ -80,23 +75,36 @@ def _of(name: str) -> Column:
     return F.col(name).cast("double")
 
 
+REVENUE_SUMS = (
+    "total_amount",
+    "tip_amount",
+    "fare_amount",
+    "trip_distance",
+    "trip_duration_sec",
+)
+
+
 def revenue_by_zone_hour(trips: DataFrame, zones: Zones, k: int = MIN_CELL) -> DataFrame:
     """Revenue per service, pickup zone, ISO weekday and hour."""
     rows = trips.filter((F.col("total_amount") > 0) & (F.col("trip_duration_sec") > 0))
-    cells = _sums_by_place(
-        rows,
-        zones,
-        {"pu_location_id": {"borough": "borough", "zone": "zone"}},
-        {
-            "service_type": F.col("service_type"),
-            "jour_semaine": iso_weekday(F.col("pickup_datetime")),
-            "heure": F.hour("pickup_datetime"),
-        },
-        ("total_amount", "tip_amount", "fare_amount", "trip_distance", "trip_duration_sec"),
-        k,
+    return revenue_mart(
+        rows, zones, iso_weekday(F.col("pickup_datetime")), F.hour("pickup_datetime"), k
     )
+
+
+def revenue_mart(
+    rows: DataFrame,
+    zones: Zones,
+    weekday: Column,
+    hour: Column,
+    k: int = MIN_CELL,
+    carried: bool = False,
+) -> DataFrame:
+    keys = {"service_type": F.col("service_type"), "jour_semaine": weekday, "heure": hour}
+    place = {"pu_location_id": {"borough": "borough", "zone": "zone"}}
+    cells = sums_by_place(rows, zones, place, keys, REVENUE_SUMS, carried)
     n = F.col(TRIPS)
-    return cells.select(
+    return suppress_small_cells(cells, k=k).select(
         "service_type",
         "borough",
         "zone",
@@ -114,37 +122,37 @@ def revenue_by_zone_hour(trips: DataFrame, zones: Zones, k: int = MIN_CELL) -> D
     )
 
 
-def service_comparison(trips: DataFrame, zones: Zones, k: int = MIN_CELL) -> DataFrame:
-    """Services side by side in each borough, with their market share.
+SERVICE_SUMS = ("total_amount", "tip_amount", "fare_amount", "driver_pay")
 
-    Shares are taken after suppression, over published cells only.
-    """
+
+def service_comparison(trips: DataFrame, zones: Zones, k: int = MIN_CELL) -> DataFrame:
+    """Services side by side in each borough, with their market share."""
     rows = trips.filter(F.col("total_amount") > 0).select(
-        "service_type",
-        "pu_location_id",
-        "total_amount",
-        "tip_amount",
-        "fare_amount",
-        "driver_pay",
+        "service_type", "pu_location_id", *SERVICE_SUMS
     )
     cells = (
         locate(rows, zones, "pu_location_id", borough="borough")
         .groupBy("service_type", "borough")
         .agg(
-            F.count(F.lit(1)).alias(TRIPS),
+            _count(False),
             median("total_amount").alias("panier_median"),
-            ratio(total("tip_amount"), total("fare_amount"), 100.0).alias("tip_pct"),
-            ratio(total("driver_pay"), total("total_amount"), 100.0).alias("driver_part"),
+            *[F.sum(c).alias(c) for c in SERVICE_SUMS],
         )
     )
+    return service_mart(cells, k)
+
+
+def service_mart(cells: DataFrame, k: int = MIN_CELL) -> DataFrame:
+    """Ratios of the cells; shares are taken over the published cells only."""
+    driver_share = ratio(_of("driver_pay"), _of("total_amount"), 100.0)
     return suppress_small_cells(cells, k=k).select(
         "service_type",
         "borough",
         TRIPS,
         share_of(TRIPS, "borough").alias("part_marche_pct"),
         "panier_median",
-        "tip_pct",
-        F.when(F.col("service_type") == "fhvhv", F.col("driver_part")).alias("driver_share_pct"),
+        ratio(_of("tip_amount"), _of("fare_amount"), 100.0).alias("tip_pct"),
+        F.when(F.col("service_type") == "fhvhv", driver_share).alias("driver_share_pct"),
     )
 
 
@@ -153,50 +161,51 @@ def demand_timeseries(
 ) -> DataFrame:
     """Demand per date, hour and service. Needs no zones."""
     pickup = F.col("pickup_datetime")
-    cells = (
-        trips.filter(F.col("trip_duration_sec") > 0)
-        .groupBy(
-            F.to_date(pickup).alias("date_course"),
-            F.hour(pickup).alias("heure"),
-            "service_type",
-        )
-        .agg(
-            F.count(F.lit(1)).alias(TRIPS),
-            per_trip("trip_distance").alias("distance_moy"),
-            per_trip("trip_duration_sec").alias("duree_moy_sec"),
-            ratio(total("trip_distance"), total("trip_duration_sec") / 3600.0).alias(
-                "vitesse_moy_mph"
-            ),
-        )
+    rows = trips.filter(F.col("trip_duration_sec") > 0)
+    return demand_mart(rows, F.to_date(pickup), F.hour(pickup), k)
+
+
+def demand_mart(
+    rows: DataFrame, day: Column, hour: Column, k: int = MIN_CELL, carried: bool = False
+) -> DataFrame:
+    cells = rows.groupBy(day.alias("date_course"), hour.alias("heure"), "service_type").agg(
+        _count(carried),
+        F.sum("trip_distance").alias("trip_distance"),
+        F.sum("trip_duration_sec").alias("trip_duration_sec"),
     )
-    # The weekday follows from the date, so it need not be a grouping key.
+    distance, seconds, n = _of("trip_distance"), _of("trip_duration_sec"), F.col(TRIPS)
     return suppress_small_cells(cells, k=k).select(
         "date_course",
         "heure",
+        # The weekday follows from the date, so it need not be a grouping key.
         iso_weekday(F.col("date_course")).alias("jour_semaine"),
         "service_type",
         TRIPS,
-        "distance_moy",
-        "duree_moy_sec",
-        "vitesse_moy_mph",
+        (distance / n).alias("distance_moy"),
+        (seconds / n).alias("duree_moy_sec"),
+        ratio(distance, seconds / 3600.0).alias("vitesse_moy_mph"),
     )
 
 
+OD_SUMS = ("trip_distance", "total_amount")
+
+
 def od_matrix(trips: DataFrame, zones: Zones, k: int = MIN_CELL) -> DataFrame:
     """Trips between boroughs."""
-    cells = _sums_by_place(
-        trips.filter(F.col("total_amount") > 0),
-        zones,
-        {
-            "pu_location_id": {"pu_borough": "borough"},
-            "do_location_id": {"do_borough": "borough"},
-        },
-        {"service_type": F.col("service_type")},
-        ("trip_distance", "total_amount"),
-        k,
-    )
+    return od_mart(trips.filter(F.col("total_amount") > 0), zones, k)
+
+
+def od_mart(
+    rows: DataFrame, zones: Zones, k: int = MIN_CELL, carried: bool = False
+) -> DataFrame:
+    places = {
+        "pu_location_id": {"pu_borough": "borough"},
+        "do_location_id": {"do_borough": "borough"},
+    }
+    service = {"service_type": F.col("service_type")}
+    cells = sums_by_place(rows, zones, places, service, OD_SUMS, carried)
     n = F.col(TRIPS)
-    return cells.select(
+    return suppress_small_cells(cells, k=k).select(
         "pu_borough",
         "do_borough",
         "service_type",

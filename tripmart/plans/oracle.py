@@ -378,12 +378,16 @@ FROM lines WHERE service = 'yellow' GROUP BY 1""",
     "backfill_od_matrix": _with(
         _SILVER + "," + _ZONES + "," + _OD_OF.format("silver"),
         """SELECT pu_borough, do_borough, service_type, nb_courses,
-  round(distance_moy, 4) AS distance_moy, round(revenu_moy, 4) AS revenu_moy FROM mart""",
+  distance_moy, round(revenu_moy * nb_courses, 4) AS revenu_total FROM mart""",
     ),
     "mart_revenue_zone_hour": _with(_REVENUE, "SELECT * FROM mart"),
     "mart_service_comparison": _with(_SERVICES, "SELECT * FROM mart"),
     "mart_demand": _with(_DEMAND, "SELECT * FROM mart"),
     "mart_od_matrix": _with(_OD, "SELECT * FROM mart"),
+    "parts_revenue_zone_hour": _with(_REVENUE, "SELECT * FROM mart"),
+    "parts_service_comparison": _with(_SERVICES, "SELECT * FROM mart"),
+    "parts_demand": _with(_DEMAND, "SELECT * FROM mart"),
+    "parts_od_matrix": _with(_OD, "SELECT * FROM mart"),
     "k_suppressed_cells": _with(
         _REVENUE_CELLS,
         """SELECT service_type, count(*) AS nb_cells,

@@ -20,6 +20,7 @@ from tripmart.functions.privacy import MIN_CELL, pseudonymise
 from tripmart.operators import marts, planning, serve
 from tripmart.operators.align import align, union_aligned
 from tripmart.operators.clean import Span, drop_repeats, keep_valid, reject_report, validity
+from tripmart.operators.parts import MARTS_FROM_PARTS, PARTS
 from tripmart.operators.quality import (
     Between,
     Compare,
@@ -268,9 +269,10 @@ def backfill_od_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = unified_trips(spark, _silver_history(spark, sf_dir))
     target = shared_folder(spark, "gold")
     materialise(marts.od_matrix(trips, _zones(spark, sf_dir)), target)
-    return spark.read.parquet(target).withColumns(
-        {c: F.round(c, 4) for c in ("distance_moy", "revenu_moy")}
-    )
+    # Sums of doubles depend on the order of arrival in their last bits; the
+    # total has four decimals, so rounding there is stable, a mean's is not.
+    total = F.round(F.col("revenu_moy") * F.col(TRIPS), 4)
+    return spark.read.parquet(target).withColumn("revenu_total", total).drop("revenu_moy")
 
 
 # -- datamarts ----------------------------------------------------------------
@@ -296,6 +298,32 @@ def mart_od_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.od_matrix(derived.line_trips(spark, sf_dir), _zones(spark, sf_dir))
 
 
+def _parts(trips: DataFrame, *names: str) -> dict[str, DataFrame]:
+    """Monthly sums of stand-in trips, which bring no partition columns."""
+    monthly = with_partitions(trips)
+    return {name: PARTS[name](monthly) for name in names}
+
+
+def parts_revenue_zone_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = _parts(derived.event_trips(spark, sf_dir), "hourly")
+    return MARTS_FROM_PARTS["revenue_by_zone_hour"](parts, _zones(spark, sf_dir))
+
+
+def parts_service_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = _parts(derived.line_trips(spark, sf_dir), "route", "price")
+    return MARTS_FROM_PARTS["service_comparison"](parts, _zones(spark, sf_dir))
+
+
+def parts_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = _parts(derived.event_trips(spark, sf_dir), "hourly")
+    return MARTS_FROM_PARTS["demand_timeseries"](parts)
+
+
+def parts_od_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = _parts(derived.line_trips(spark, sf_dir), "route")
+    return MARTS_FROM_PARTS["od_matrix"](parts, _zones(spark, sf_dir))
+
+
 def k_suppressed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What suppression withholds from the revenue mart, per service."""
     cells = marts.revenue_by_zone_hour(
@@ -469,6 +497,10 @@ _ALL = (
     mart_service_comparison,
     mart_demand,
     mart_od_matrix,
+    parts_revenue_zone_hour,
+    parts_service_comparison,
+    parts_demand,
+    parts_od_matrix,
     k_suppressed_cells,
     mart_rollup,
     zone_left_unmapped,

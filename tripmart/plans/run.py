@@ -21,13 +21,14 @@ from tripmart.operators.planning import (
     registry_state,
 )
 from tripmart.operators.quality import SILVER_RULES, Rule
+from tripmart.plans.refresh import build_marts, forget_parts, refresh_parts
 from tripmart.plans.silver import build_silver
 from tripmart.schema import DATASETS
 from tripmart.session import FILE_SIZING, in_parallel, prepare
-from tripmart.sources.lake import append_rows, materialise, publish_view, unified_trips
+from tripmart.sources.lake import append_rows, publish_view, unified_trips
 from tripmart.sources.raw import land, scan_raw
 from tripmart.sources.registry import read_events, record
-from tripmart.sources.zones import Zones, checked, read_zones
+from tripmart.sources.zones import checked, read_zones
 
 
 class RunFailed(Exception):
@@ -47,6 +48,8 @@ class Lake:
     rules: tuple[Rule, ...] = SILVER_RULES
     marts: tuple[str, ...] = tuple(MARTS)
     files: dict[str, int] = field(default_factory=dict)
+    # False rebuilds every datamart from the trips of all history.
+    incremental: bool = True
 
     def table(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -95,6 +98,7 @@ def _clean_dataset(
     errors = []
     for span, names in _spans(periods):
         try:
+            forget_parts(spark, lake.table("parts"), dataset, names)
             report = build_silver(
                 scan_raw(spark, lake.table("bronze"), dataset),
                 dataset,
@@ -129,18 +133,6 @@ def _clean_dataset(
     return errors
 
 
-def build_marts(
-    spark: SparkSession, trips: DataFrame, zones: Zones, root: str, names: Iterable[str]
-) -> None:
-    """Rebuild the named datamarts from all history."""
-    in_parallel(
-        spark,
-        lambda name: materialise(MARTS[name](trips, zones), f"{root.rstrip('/')}/{name}"),
-        list(names),
-        4,
-    )
-
-
 def read_mart(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     return spark.read.parquet(lake.table(f"gold/{name}"))
 
@@ -187,8 +179,10 @@ def run(
     if errors:
         raise RunFailed("; ".join(errors))
 
-    trips = unified_trips(spark, lake.table("silver/trips"))
+    silver = lake.table("silver/trips")
+    trips = unified_trips(spark, silver)
     publish_view(trips)
     zones = checked(read_zones(spark, lake.zones_csv))
-    build_marts(spark, trips, zones, lake.table("gold"), lake.marts)
+    parts = refresh_parts(spark, silver, lake.table("parts")) if lake.incremental else None
+    build_marts(spark, trips, zones, lake.table("gold"), lake.marts, parts)
     return sorted((x.dataset, x.period) for x in landings)
