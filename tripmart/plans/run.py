@@ -48,6 +48,9 @@ class Lake:
     rules: tuple[Rule, ...] = SILVER_RULES
     marts: tuple[str, ...] = tuple(MARTS)
     files: dict[str, int] = field(default_factory=dict)
+    # True reads only raw folders next to the months being built. Saves opening
+    # old files, but misses trips delivered in a file further away.
+    near_folders_only: bool = False
     # False rebuilds every datamart from the trips of all history.
     incremental: bool = True
 
@@ -100,7 +103,12 @@ def _clean_dataset(
         try:
             forget_parts(spark, lake.table("parts"), dataset, names)
             report = build_silver(
-                scan_raw(spark, lake.table("bronze"), dataset),
+                scan_raw(
+                    spark,
+                    lake.table("bronze"),
+                    dataset,
+                    span if lake.near_folders_only else None,
+                ),
                 dataset,
                 span,
                 lake.table("silver/trips"),

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tripmart.operators.clean import Span
 from tripmart.operators.quality import (
     SILVER_RULES,
-    QualityGateError,
     Rule,
     measures,
     require_passed,
@@ -71,12 +70,14 @@ def write_gated(
         )
         report = rule_table_from_observed(spark, seen.get, rules)
         require_passed(report)
-        depth = "/".join(f"{p}=*" for p in partitions)
-        for part in Folder(spark, f"{staged}/new").glob(depth):
-            table.move_here(f"{staged}/new/{part}", part, f"{staged}/old/{part}")
-    except QualityGateError:
+    except Exception:
         table.delete(run)
         raise
+    # From here on a failure keeps the staging folder: what was replaced so far
+    # is in it, and running the same months again completes the rest.
+    depth = "/".join(f"{p}=*" for p in partitions)
+    for part in Folder(spark, f"{staged}/new").glob(depth):
+        table.move_here(f"{staged}/new/{part}", part, f"{staged}/old/{part}")
     table.delete(run)
     return report
 
