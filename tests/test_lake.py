@@ -11,7 +11,7 @@ from tripmart.operators.quality import Compare, QualityGateError, RowCount
 from tripmart.plans.queries import PEPPER, RULES
 from tripmart.plans.silver import build_silver
 from tripmart.schema import SILVER, UNIFIED
-from tripmart.session import in_parallel, shared_folder
+from tripmart.session import in_parallel, shared_folder, shuffle_partitions
 from tripmart.sources import derived
 from tripmart.sources.catalog import register_silver, register_table, replace_unified_view
 from tripmart.sources.lake import (
@@ -197,3 +197,9 @@ def test_shared_folder_follows_the_session():
     assert shared_folder(Session("local[2]", None), "a").startswith("/tmp/")
     with pytest.raises(ValueError):
         shared_folder(Session("yarn", None), "a")
+
+
+def test_shuffle_partitions_grow_with_the_job():
+    assert shuffle_partitions(1 << 30) == 200
+    assert shuffle_partitions(2 << 40) == 16_384
+    assert shuffle_partitions(1 << 60) == 100_000

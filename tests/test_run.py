@@ -10,7 +10,7 @@ from tripmart.operators.marts import MARTS
 from tripmart.operators.parts import MARTS_FROM_PARTS, PARTS
 from tripmart.operators.planning import registry_state
 from tripmart.operators.quality import Compare
-from tripmart.plans.run import Lake, RunFailed, plan_run, read_mart, run
+from tripmart.plans.run import Lake, RunFailed, _spans, plan_run, read_mart, run
 from tripmart.operators.align import align
 from tripmart.operators.clean import Span
 from tripmart.schema import DATASETS
@@ -164,6 +164,19 @@ def test_incremental_marts_follow_a_month_written_again(spark, lake):
     assert one and one == sorted(map(str, other))
 
 
+def test_backlog_is_cut_into_jobs_of_consecutive_months():
+    periods = ["2024-01", "2023-12", "2024-02", "2024-05"]
+    assert [names for _, names in _spans(periods, 12)] == [
+        ["2023-12", "2024-01", "2024-02"],
+        ["2024-05"],
+    ]
+    assert [(str(span.start), str(span.end)) for span, _ in _spans(periods, 2)] == [
+        ("2023-12-01", "2024-02-01"),
+        ("2024-02-01", "2024-03-01"),
+        ("2024-05-01", "2024-06-01"),
+    ]
+
+
 def test_failures_are_recorded_and_block_the_marts(spark, lake):
     from dataclasses import replace
 

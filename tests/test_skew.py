@@ -1,0 +1,191 @@
+"""Marts and cleaning against brute force in Python, on skewed trips: one zone
+and one repeated row hold a third of all rows each."""
+
+import random
+from collections import Counter, defaultdict
+from datetime import datetime, timedelta
+
+import pytest
+
+from tests.conftest import TRIP_DEFAULTS, text_frame
+from tripmart.operators import marts
+from tripmart.operators.clean import Bounds, Span, drop_repeats, keep_valid, validity
+from tripmart.operators.parts import MARTS_FROM_PARTS, PARTS
+from tripmart.schema import TRIP
+from tripmart.sources.lake import with_partitions
+
+BOROUGH = {1: "Queens", 2: "Queens", 3: "Bronx", 4: "Bronx"}
+NAME = {1: "JFK Airport", 2: "LaGuardia Airport", 3: "Belmont", 4: "Norwood"}
+
+
+def random_trips(n=900, seed=7):
+    rng = random.Random(seed)
+    start = datetime(2024, 3, 1)
+    rows = []
+    for _ in range(n):
+        pickup = start + timedelta(minutes=rng.randrange(31 * 24 * 60))
+        seconds = rng.choice([0, 60, 600, 1800, 90_000])
+        rows.append(
+            {
+                **TRIP_DEFAULTS,
+                "service_type": rng.choice(["yellow", "green", "fhvhv", "fhvhv"]),
+                "pickup_datetime": str(pickup),
+                "dropoff_datetime": str(pickup + timedelta(seconds=seconds)),
+                "pu_location_id": rng.choice([1, 1, 1, 2, 3, 4, 9, 300]),
+                "do_location_id": rng.choice([1, 2, 3, 4, 9]),
+                "trip_distance": rng.choice([0.0, 0.5, 3.25, 12.0, 250.0]),
+                "trip_duration_sec": float(seconds),
+                "fare_amount": rng.choice([-1.0, 0.0, 8.5, 20.25, 31.0]),
+                "tip_amount": rng.choice([0.0, 1.5, 2.25]),
+                "total_amount": rng.choice([0.0, 9.75, 22.5, 40.0]),
+                "driver_pay": rng.choice([None, 7.0]),
+            }
+        )
+    return rows + [rows[1]] * (n // 2)
+
+
+def valid(row):
+    pickup = datetime.fromisoformat(row["pickup_datetime"])
+    dropoff = datetime.fromisoformat(row["dropoff_datetime"])
+    return (
+        datetime(2024, 3, 1) <= pickup < datetime(2024, 4, 1)
+        and dropoff > pickup
+        and 0 < row["trip_duration_sec"] <= 86400
+        and 0 < row["trip_distance"] <= 200
+        and row["fare_amount"] >= 0
+        and row["total_amount"] >= 0
+        and 1 <= row["pu_location_id"] <= 265
+    )
+
+
+@pytest.fixture(scope="module")
+def world(spark):
+    rows = random_trips()
+    frame = text_frame(spark, rows, TRIP).repartition(5).cache()
+    clean = drop_repeats(
+        keep_valid(frame, validity(Span.month(datetime(2024, 3, 1).date()), Bounds()))
+    ).cache()
+    names = [f.name for f in TRIP.fields]
+    unique = {tuple(r[n] for n in names) for r in rows if valid(r)}
+    yield clean, [dict(zip(names, u)) for u in unique]
+    frame.unpersist()
+    clean.unpersist()
+
+
+def test_valid_and_distinct(world):
+    clean, expected = world
+    got = Counter((str(r.pickup_datetime), r.pu_location_id, r.fare_amount) for r in clean.collect())
+    assert got == Counter(
+        (e["pickup_datetime"], e["pu_location_id"], e["fare_amount"]) for e in expected
+    )
+
+
+def both_ways(name, clean, zones):
+    """The mart directly and from monthly parts."""
+    parts = {n: build(with_partitions(clean)) for n, build in PARTS.items()}
+    return marts.MARTS[name](clean, zones).collect(), MARTS_FROM_PARTS[name](parts, zones).collect()
+
+
+def groups(rows, key):
+    out = defaultdict(list)
+    for row in rows:
+        out[key(row)].append(row)
+    return {k: v for k, v in out.items() if len(v) >= 5}
+
+
+def add(rows, name):
+    return sum(r[name] or 0 for r in rows)
+
+
+def test_od_matrix(world, zones):
+    clean, rows = world
+    expected = groups(
+        [r for r in rows if r["total_amount"] > 0],
+        lambda r: (
+            BOROUGH.get(r["pu_location_id"]),
+            BOROUGH.get(r["do_location_id"]),
+            r["service_type"],
+        ),
+    )
+    for result in both_ways("od_matrix", clean, zones):
+        got = {(r.pu_borough, r.do_borough, r.service_type): r for r in result}
+        assert set(got) == set(expected)
+        for key, members in expected.items():
+            n = len(members)
+            assert got[key].nb_courses == n
+            assert got[key].distance_moy == pytest.approx(add(members, "trip_distance") / n)
+            assert got[key].revenu_moy == pytest.approx(add(members, "total_amount") / n)
+
+
+def test_service_comparison(world, zones):
+    clean, rows = world
+    expected = groups(
+        [r for r in rows if r["total_amount"] > 0],
+        lambda r: (r["service_type"], BOROUGH.get(r["pu_location_id"])),
+    )
+    whole = Counter()
+    for (_, borough), members in expected.items():
+        whole[borough] += len(members)
+    for result in both_ways("service_comparison", clean, zones):
+        got = {(r.service_type, r.borough): r for r in result}
+        assert set(got) == set(expected)
+        for (service, borough), members in expected.items():
+            row, n = got[service, borough], len(members)
+            prices = sorted(m["total_amount"] for m in members)
+            assert row.nb_courses == n
+            assert row.panier_median == prices[(n + 1) // 2 - 1]
+            assert row.part_marche_pct == pytest.approx(n * 100 / whole[borough])
+            assert row.tip_pct == pytest.approx(
+                add(members, "tip_amount") / add(members, "fare_amount") * 100
+            )
+            if service == "fhvhv":
+                assert row.driver_share_pct == pytest.approx(
+                    add(members, "driver_pay") / add(members, "total_amount") * 100
+                )
+            else:
+                assert row.driver_share_pct is None
+
+
+def test_revenue_by_zone_hour(world, zones):
+    clean, rows = world
+
+    def key(r):
+        pickup = datetime.fromisoformat(r["pickup_datetime"])
+        place = r["pu_location_id"]
+        return (
+            r["service_type"], BOROUGH.get(place), NAME.get(place), pickup.isoweekday(), pickup.hour
+        )
+
+    paid = [r for r in rows if r["total_amount"] > 0]
+    loose = defaultdict(list)
+    for row in paid:
+        loose[key(row)].append(row)
+    direct = marts.revenue_by_zone_hour(clean, zones, k=1).collect()
+    parts = {"hourly": PARTS["hourly"](with_partitions(clean))}
+    merged = MARTS_FROM_PARTS["revenue_by_zone_hour"](parts, zones, k=1).collect()
+    for result in (direct, merged):
+        got = {(r.service_type, r.borough, r.zone, r.jour_semaine, r.heure): r for r in result}
+        assert set(got) == set(loose)
+        for k, members in loose.items():
+            assert got[k].nb_courses == len(members)
+            assert got[k].revenu_total == pytest.approx(add(members, "total_amount"))
+            assert got[k].revenu_par_min == pytest.approx(
+                add(members, "total_amount") / (add(members, "trip_duration_sec") / 60)
+            )
+
+
+def test_demand_timeseries(world, zones):
+    clean, rows = world
+
+    def key(r):
+        pickup = datetime.fromisoformat(r["pickup_datetime"])
+        return pickup.date(), pickup.hour, r["service_type"]
+
+    loose = Counter(key(r) for r in rows)
+    parts = {"hourly": PARTS["hourly"](with_partitions(clean))}
+    for result in (
+        marts.demand_timeseries(clean, k=1).collect(),
+        MARTS_FROM_PARTS["demand_timeseries"](parts, k=1).collect(),
+    ):
+        assert {(r.date_course, r.heure, r.service_type): r.nb_courses for r in result} == loose
+        assert all(r.jour_semaine == r.date_course.isoweekday() for r in result)

@@ -24,10 +24,27 @@ def ratio(numerator: Column, denominator: Column, scale: float = 1.0) -> Column:
     return F.try_divide(numerator, denominator) * F.lit(scale)
 
 
-def median(column: str | Column) -> Column:
-    """Approximate median: a mergeable sketch, exact below 50,000 rows a group
-    and within 1e-5 of the rank beyond."""
-    return F.percentile_approx(column, 0.5, 100_000).cast("double")
+# Sketch sizes. A sketch is exact up to its size in rows; beyond,
+# the rank error of a median is about 0.01 and 0.07 per cent, and a sketch takes
+# some 600 and 80 KB however many rows it stands for.
+FINE, COARSE = 32_768, 4_096
+
+
+def sketch(column: str, size: int = FINE) -> Column:
+    """Mergeable quantile sketch of the values of a group."""
+    return F.kll_sketch_agg_double(F.col(column).cast("double"), size)
+
+
+def merged_sketch(column: str, size: int = FINE) -> Column:
+    return F.kll_merge_agg_double(column, size)
+
+
+def sketch_median(column: str) -> Column:
+    """Median from a sketch, NULL when it has seen no value."""
+    return F.when(
+        F.kll_sketch_get_n_double(column) > 0,
+        F.kll_sketch_get_quantile_double(column, F.lit(0.5)),
+    )
 
 
 def share_of(column: str, *partition: str) -> Column:

@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from tripmart.functions.measures import (
     TRIPS,
     iso_weekday,
-    median,
+    merged_sketch,
     ratio,
     share_of,
+    sketch,
+    sketch_median,
     total,
 )
 from tripmart.functions.privacy import MIN_CELL, suppress_small_cells
@@ -125,19 +127,38 @@ def revenue_mart(
 SERVICE_SUMS = ("total_amount", "tip_amount", "fare_amount", "driver_pay")
 
 
+# Reducers that share the sketches of one service and borough.
+SPREAD = 64
+
+
 def service_comparison(trips: DataFrame, zones: Zones, k: int = MIN_CELL) -> DataFrame:
-    """Services side by side in each borough, with their market share."""
+    """Services side by side in each borough, with their market share.
+
+    There are few groups, and each map task sends a sketch for every one of
+    its own. A first merge is therefore spread over several reducers a group;
+    the second one gets at most ``SPREAD`` lines a group.
+    """
     rows = trips.filter(F.col("total_amount") > 0).select(
         "service_type", "pu_location_id", *SERVICE_SUMS
     )
-    cells = (
+    spread = F.pmod(F.spark_partition_id(), F.lit(SPREAD)).alias("_spread")
+    first = (
         locate(rows, zones, "pu_location_id", borough="borough")
-        .groupBy("service_type", "borough")
+        .groupBy("service_type", "borough", spread)
         .agg(
             _count(False),
-            median("total_amount").alias("panier_median"),
+            sketch("total_amount").alias("prices"),
+            *[F.sum(c).alias(c) for c in SERVICE_SUMS],
+        )
+    )
+    cells = (
+        first.groupBy("service_type", "borough")
+        .agg(
+            _count(True),
+            merged_sketch("prices").alias("prices"),
             *[F.sum(c).alias(c) for c in SERVICE_SUMS],
         )
+        .withColumn("panier_median", sketch_median("prices"))
     )
     return service_mart(cells, k)
 

@@ -15,17 +15,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.functions.measures import TRIPS, iso_weekday
+from tripmart.functions.measures import (
+    COARSE,
+    TRIPS,
+    iso_weekday,
+    merged_sketch,
+    sketch,
+    sketch_median,
+)
 from tripmart.functions.privacy import MIN_CELL
 from tripmart.operators import marts
 from tripmart.schema import PARTITIONS
 from tripmart.sources.zones import Zones
 
-# Rank error below 0.1 per cent, at most about 100 KB a sketch; exact below
-# this number of trips in a group.
-SKETCH_SIZE = 4096
-
-
 def _sums(names: tuple[str, ...]) -> list[Column]:
     return [F.sum(n).alias(n) for n in names]
 
@@ -64,11 +66,7 @@ def price_part(trips: DataFrame) -> DataFrame:
     return (
         trips.filter(F.col("total_amount") > 0)
         .groupBy(*PARTITIONS, "pu_location_id")
-        .agg(
-            F.kll_sketch_agg_double(F.col("total_amount").cast("double"), SKETCH_SIZE).alias(
-                "prices"
-            )
-        )
+        .agg(sketch("total_amount", COARSE).alias("prices"))
     )
 
 
@@ -103,14 +101,11 @@ def services_from_parts(
     prices = (
         marts.locate(parts["price"], zones, "pu_location_id", borough="borough")
         .groupBy("service_type", "borough")
-        .agg(F.kll_merge_agg_double("prices", SKETCH_SIZE).alias("prices"))
+        .agg(merged_sketch("prices").alias("prices"))
         .select(
             F.col("service_type").alias("_service"),
             F.col("borough").alias("_borough"),
-            F.when(
-                F.kll_sketch_get_n_double("prices") > 0,
-                F.kll_sketch_get_quantile_double("prices", F.lit(0.5)),
-            ).alias("panier_median"),
+            sketch_median("prices").alias("panier_median"),
         )
     )
     same = F.col("service_type").eqNullSafe(F.col("_service")) & F.col("borough").eqNullSafe(

@@ -48,6 +48,8 @@ class Lake:
     rules: tuple[Rule, ...] = SILVER_RULES
     marts: tuple[str, ...] = tuple(MARTS)
     files: dict[str, int] = field(default_factory=dict)
+    # A backlog of consecutive months is one Spark job up to this many months.
+    months_per_job: int = 12
     # True reads only raw folders next to the months being built. Saves opening
     # old files, but misses trips delivered in a file further away.
     near_folders_only: bool = False
@@ -81,13 +83,13 @@ def plan_run(
     return planned.select("dataset", "period")
 
 
-def _spans(periods: list[str]) -> list[tuple[Span, list[str]]]:
-    """Consecutive months together, so that a backlog is one Spark job."""
+def _spans(periods: list[str], longest: int) -> list[tuple[Span, list[str]]]:
+    """Consecutive months together: one scan and one job for all of them."""
     spans: list[tuple[Span, list[str]]] = []
     for period in sorted(periods):
         month = Span.month(parse_period(period))
-        if spans and spans[-1][0].end == month.start:
-            span, names = spans[-1]
+        span, names = spans[-1] if spans else (None, [])
+        if span and span.end == month.start and len(names) < longest:
             spans[-1] = (Span(span.start, month.end), [*names, period])
         else:
             spans.append((month, [period]))
@@ -99,7 +101,7 @@ def _clean_dataset(
 ) -> list[str]:
     """Build silver for the landed periods; return the errors."""
     errors = []
-    for span, names in _spans(periods):
+    for span, names in _spans(periods, lake.months_per_job):
         try:
             forget_parts(spark, lake.table("parts"), dataset, names)
             report = build_silver(

@@ -43,7 +43,18 @@ def prepare(spark: SparkSession, more: dict[str, str] | None = None) -> SparkSes
     return spark
 
 
-def cluster_session(app_name: str = "tripmart", **conf: str) -> SparkSession:
+def shuffle_partitions(job_bytes: int, partition_bytes: int = 128 << 20) -> int:
+    """Initial number of shuffle partitions for the largest job.
+
+    AQE only ever merges partitions, so the start has to be fine enough for
+    the largest shuffle; small ones are merged to the advisory size.
+    """
+    return min(max(job_bytes // partition_bytes, 200), 100_000)
+
+
+def cluster_session(
+    app_name: str = "tripmart", largest_job_bytes: int = 2 << 40, **conf: str
+) -> SparkSession:
     """Session for a real deployment; extra settings override the defaults."""
     builder = SparkSession.builder.appName(app_name)
     settings = {
@@ -51,7 +62,7 @@ def cluster_session(app_name: str = "tripmart", **conf: str) -> SparkSession:
         **_ADAPTIVE,
         **FILE_SIZING,
         "spark.scheduler.mode": "FAIR",
-        "spark.sql.shuffle.partitions": "4000",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions(largest_job_bytes)),
         "spark.sql.files.maxPartitionBytes": "256m",
         **conf,
     }
