@@ -368,6 +368,11 @@ GROUP BY service_type, year, payment_type""",
         _SILVER,
         """SELECT service_type, year, count(*) AS nb_courses,
   sum(trip_distance) AS distance_total FROM silver GROUP BY service_type, year""",
+    ),
+    "catalog_tables": _with(
+        _SILVER,
+        """SELECT year, month, count(*) AS nb_courses, sum(trip_distance) AS distance_total
+FROM silver WHERE service_type = 'green' GROUP BY year, month""",
     ),
     "raw_schema_drift": _with(
         _LINES,

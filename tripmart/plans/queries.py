@@ -34,6 +34,7 @@ from tripmart.plans.silver import build_silver, silver_trips
 from tripmart.schema import DATASETS, IDENTIFIERS, UNIFIED
 from tripmart.session import in_parallel, prepare, shared_folder
 from tripmart.sources import derived
+from tripmart.sources.catalog import register_silver, replace_unified_view
 from tripmart.sources.lake import (
     materialise,
     overwrite_partitions,
@@ -241,6 +242,19 @@ def unified_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as an external table with recovered partitions, read through the
+    permanent view of published columns."""
+    register_silver(spark, _silver_history(spark, sf_dir), "tripmart_silver")
+    replace_unified_view(spark, "tripmart_silver", "tripmart_unified")
+    return (
+        spark.table("tripmart_unified")
+        .filter("service_type = 'green'")
+        .groupBy("year", "month")
+        .agg(F.count(F.lit(1)).alias(TRIPS), F.sum("trip_distance").alias("distance_total"))
+    )
+
+
 def raw_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw months whose column types and name case changed over the years."""
     root = shared_folder(spark, "raw")
@@ -491,6 +505,7 @@ _ALL = (
     dynamic_overwrite,
     unified_view,
     unified_branches,
+    catalog_tables,
     raw_schema_drift,
     backfill_od_matrix,
     mart_revenue_zone_hour,
