@@ -204,6 +204,11 @@ def test_missing_source_file_fails_the_landing_only(spark, lake):
     assert state(spark, lake) == {("green", "1998-04"): ("FAILED", None, "PENDING")}
 
 
+def test_nothing_published_yet(spark, lake):
+    assert run(spark, lake, date(1998, 6, 30)) == []
+    assert state(spark, lake) == {}
+
+
 def test_unknown_dataset_is_refused(spark, lake):
     with pytest.raises(Exception, match="unknown dataset: purple"):
         run(spark, lake, date(1998, 8, 20), datasets=("purple",))

@@ -25,6 +25,7 @@ from tripmart.plans.refresh import build_marts, forget_parts, refresh_parts
 from tripmart.plans.silver import build_silver
 from tripmart.schema import DATASETS
 from tripmart.session import FILE_SIZING, in_parallel, prepare
+from tripmart.sources.files import Folder
 from tripmart.sources.lake import append_rows, publish_view, unified_trips
 from tripmart.sources.raw import land, scan_raw
 from tripmart.sources.registry import read_events, record
@@ -190,6 +191,8 @@ def run(
         raise RunFailed("; ".join(errors))
 
     silver = lake.table("silver/trips")
+    if not Folder(spark, silver).exists():
+        return []  # nothing has ever been due
     trips = unified_trips(spark, silver)
     publish_view(trips)
     zones = checked(read_zones(spark, lake.zones_csv))
