@@ -83,7 +83,7 @@ def shingle_sets(raw: np.ndarray, at: np.ndarray, k: int = 5) -> list[np.ndarray
         if b - a >= k:
             out.append(np.unique(grams[a : b - k + 1]))
         elif b > a:
-            short = np.array([(b - a) * 0xB5297A4D3F84D5B5 % (1 << 64)], np.uint64)
+            short = np.array([int(b - a) * 0xB5297A4D3F84D5B5 % (1 << 64)], np.uint64)
             out.append(mix((words[a:b] * _PLACE[: b - a]).sum(keepdims=True, dtype=np.uint64) + short))
         else:
             out.append(np.zeros(0, np.uint64))
