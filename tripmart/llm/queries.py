@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import langid, secrets
+from tripmart.llm import html, langid, secrets, toxicity
 from tripmart.llm.jaccard import jaccard_groups
 from tripmart.llm.shared import table
 
@@ -23,8 +23,18 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_texts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op5_language_id": op5_language_id,
     "op7_secret_scan": op7_secret_scan,
+    "op9_toxicity": op9_toxicity,
+    "op10_html_extraction": op10_html_extraction,
 }

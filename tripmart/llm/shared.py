@@ -14,6 +14,8 @@ from tripmart.session import shared_folder
 
 #: Bytes of text that one vectorised step works on; a longer text is one step of its own.
 STEP_BYTES = 2 << 20
+#: Rows of ids or numbers (some 16 bytes each) that may be sent to all tasks.
+BROADCAST_ROWS = 1 << 18
 
 
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
@@ -28,6 +30,11 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def small_side(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Narrow rows marked for broadcast if there are few enough, else left to a shuffle join."""
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # Tasks import this package from where the driver did, also if it is not installed.
     own = str(Path(__file__).resolve().parents[2])
