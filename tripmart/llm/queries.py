@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import ann, html, langid, secrets, toxicity
+from tripmart.llm import ann, html, langid, secrets, suffixes, toxicity
 from tripmart.llm.jaccard import jaccard_groups
 from tripmart.llm.shared import table
 
@@ -19,6 +19,10 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")[0]
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_nearest_neighbours": op2_nearest_neighbours,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_language_id": op5_language_id,
     "op7_secret_scan": op7_secret_scan,
     "op9_toxicity": op9_toxicity,

@@ -29,7 +29,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2**64, at least n of each."""
     size = 1 << max(10, int(n - 1).bit_length())
     if size not in _powers:
@@ -59,7 +59,7 @@ def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     last = letter.copy()
     last[:-1] &= ~letter[1:] | edge[1:n]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = _power(n + 1)
+    up, down = powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_LETTER[raw] * up[:n], out=total[1:])
     hashes = mix((total[end] - total[start]) * down[start])
