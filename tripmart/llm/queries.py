@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import ann, html, langid, secrets, suffixes, toxicity
+from tripmart.llm import ann, html, langid, licenses, pieces, secrets, suffixes, toxicity
 from tripmart.llm.jaccard import jaccard_groups
 from tripmart.llm.shared import table
 
@@ -31,6 +31,14 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_texts(table(spark, sf_dir, "documents"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_texts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,7 +52,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_nearest_neighbours": op2_nearest_neighbours,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_language_id": op5_language_id,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_secret_scan": op7_secret_scan,
+    "op8_license_scan": op8_license_scan,
     "op9_toxicity": op9_toxicity,
     "op10_html_extraction": op10_html_extraction,
 }
