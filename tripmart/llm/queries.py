@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import ann, html, langid, licenses, pieces, secrets, suffixes, toxicity
+from tripmart.llm import ann, decontam, html, langid, licenses, pieces, secrets, suffixes, toxicity
 from tripmart.llm.jaccard import jaccard_groups
 from tripmart.llm.shared import table
 
@@ -19,6 +19,10 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")[0]
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_nearest_neighbours": op2_nearest_neighbours,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_language_id": op5_language_id,
     "op6_sentencepiece": op6_sentencepiece,

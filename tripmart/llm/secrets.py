@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.shared import stored
+from tripmart.llm.shared import small_side, stored
 
 #: Change with any change of the rules below.
 RULES = "2024-06-1"
@@ -133,3 +133,38 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(span).alias("spans"), "blob"
     )
+
+
+REDACTED = "[REDACTED]"
+
+
+def _redact(batches):
+    for batch in batches:
+        texts = []
+        for text, starts, ends in zip(*(batch.column(c).to_pylist() for c in ("text", "starts_", "ends_"))):
+            if starts:
+                out, at = [], 0
+                for start, end in zip(starts, ends):
+                    if start >= at:
+                        out += [text[at:start], REDACTED]
+                    # A span inside the one before adds nothing, an overlapping one its rest.
+                    at = max(at, end)
+                text = "".join([*out, text[at:]])
+            texts.append(text)
+        names = [n for n in batch.schema.names if n not in ("starts_", "ends_")]
+        columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
+        yield pa.RecordBatch.from_arrays(columns, names)
+
+
+def redact_secrets(docs: DataFrame, ledger: str | None = None) -> DataFrame:
+    """``docs`` with all spans found replaced in ``text``; all rows and columns stay.
+
+    Columns named starts_, ends_ or blob_ are taken by this step and not allowed.
+    """
+    blob = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+    found = scan_secrets(docs, ledger).where(F.size("kinds") > 0)
+    # By content: equal texts have equal spans, also under null or repeated ids.
+    spans = found.select(F.lower("blob").alias("blob_"), F.col("starts").alias("starts_"), F.col("ends").alias("ends_"))
+    spans = small_side(stored(spans.dropDuplicates(["blob_"]), "secrets-spans"))
+    rows = docs.withColumn("blob_", blob).join(spans, "blob_", "left")
+    return rows.select(*[docs[c] for c in docs.columns], "starts_", "ends_").mapInArrow(_redact, docs.schema)

@@ -31,8 +31,9 @@ from tripmart.llm.shared import small_side, stored
 
 #: Most terms kept, those with the clearest lean first.
 LEXICON = 4000
-#: Least standard errors by which a term's log odds exceed none, and least toxic texts with it.
-LEAST_Z, LEAST_TEXTS = 4.0, 4
+#: Least log-likelihood ratio statistic of a term (about five standard errors, since
+#: hundreds of thousands of terms are tried), and least toxic texts with it.
+LEAST_G, LEAST_TEXTS = 25.0, 4
 #: Letters of the shortest term of each kind.
 WORD, STEM, FUZZY = 3, 4, 5
 LONGEST_STEM = 9
@@ -99,16 +100,27 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
     odds = F.log((F.col("toxic") + half) / (bad - F.col("toxic") + half)) - F.log(
         (F.col("clean") + half) / (good - F.col("clean") + half)
     )
-    error = F.sqrt(
-        1 / (F.col("toxic") + half)
-        + 1 / (bad - F.col("toxic") + half)
-        + 1 / (F.col("clean") + half)
-        + 1 / (good - F.col("clean") + half)
+    texts = bad + good
+
+    def times_log(x):
+        x = x.cast("double") if hasattr(x, "cast") else F.lit(float(x))
+        return F.when(x > 0, x * F.log(x)).otherwise(0.0)
+
+    ratio = 2 * (
+        times_log(F.col("toxic"))
+        + times_log(F.col("clean"))
+        + times_log(bad - F.col("toxic"))
+        + times_log(good - F.col("clean"))
+        - times_log(F.col("toxic") + F.col("clean"))
+        - times_log(texts - F.col("toxic") - F.col("clean"))
+        - times_log(bad)
+        - times_log(good)
+        + times_log(texts)
     )
     rows = (
-        counted.select("term", odds.alias("odds"), (odds / error).alias("z"))
-        .where((F.col("z") >= LEAST_Z) & (F.col("odds") >= 1))
-        .orderBy(F.desc("z"), "term")
+        counted.select("term", odds.alias("odds"), F.round(ratio, 6).alias("g"))
+        .where((F.col("g") >= LEAST_G) & (F.col("odds") >= 1))
+        .orderBy(F.desc("g"), "term")
         .limit(LEXICON)
         .collect()
     )
@@ -278,27 +290,37 @@ def learn(labelled: DataFrame):
     return lexicon, fit_logistic(np.array([r["features"] for r in sample]), y)
 
 
+def _scores(matcher: Matcher, model, texts: pa.Array) -> np.ndarray:
+    if model is None:
+        return np.zeros(len(texts))
+    mean, scale, beta = model
+    x = np.array([matcher.features(text.as_py() or "") for text in texts]).reshape(-1, FEATURES)
+    odds = ((x - mean) / scale * beta[:-1]).sum(axis=1) + beta[-1]
+    return np.round(1 / (1 + np.exp(-np.clip(odds, -30, 30))), 6)
+
+
 def _score(lexicon, model, threshold: float):
     def run(batches):
         matcher = Matcher(lexicon.value)
         for batch in batches:
-            if model is None:
-                score = np.zeros(batch.num_rows)
-            else:
-                mean, scale, beta = model
-                x = np.array([matcher.features(text.as_py() or "") for text in batch.column("text")])
-                x = x.reshape(-1, FEATURES)
-                z = (x - mean) / scale
-                score = np.round(1 / (1 + np.exp(-np.clip((z * beta[:-1]).sum(axis=1) + beta[-1], -30, 30))), 6)
-            names = [n for n in batch.schema.names if n != "text"]
+            score = _scores(matcher, model, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [*batch.select(names).columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))],
-                [*names, "score", "predicted"],
+                [*batch.select(["doc_id", "held_out"]).columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))],
+                ["doc_id", "held_out", "score", "predicted"],
             )
 
     return run
 
 
+def _keep(lexicon, model, threshold: float):
+    def run(batches):
+        matcher = Matcher(lexicon.value)
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(matcher, model, batch.column("text")) < threshold))
+
+    return run
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1) -> DataFrame:
     """Labelled texts outside the held-out fold."""
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -318,3 +340,9 @@ def score_texts(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fold
     return mine.mapInArrow(
         _score(lexicon, model, threshold), "doc_id bigint, held_out boolean, score double, predicted int"
     )
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` whose score stays below the threshold, with all their columns."""
+    lexicon, model = learn(training_rows(docs, labels))
+    return docs.mapInArrow(_keep(lexicon, model, threshold), docs.schema)

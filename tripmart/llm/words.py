@@ -40,11 +40,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size]
 
 
-def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(raw: np.ndarray, at: np.ndarray, blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first byte and end byte of each word, and each text's first word.
 
     ``at`` holds the offsets of the texts in ``raw`` (one more than texts);
-    byte positions are relative to ``at[0]``.
+    byte positions are relative to ``at[0]``. ``blank`` marks the bytes between words.
     """
     raw, at = raw[at[0] : at[-1]], at - at[0]
     n = len(raw)
@@ -53,7 +53,7 @@ def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
         return none.astype(np.uint64), none, none, np.zeros(len(at), np.int64)
     edge = np.zeros(n + 1, bool)
     edge[at] = True
-    letter = ~_BLANK[raw]
+    letter = ~blank[raw]
     first = letter.copy()
     first[1:] &= ~letter[:-1] | edge[1:n]
     last = letter.copy()
