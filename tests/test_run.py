@@ -212,3 +212,64 @@ def test_nothing_published_yet(spark, lake):
 def test_unknown_dataset_is_refused(spark, lake):
     with pytest.raises(Exception, match="unknown dataset: purple"):
         run(spark, lake, date(1998, 8, 20), datasets=("purple",))
+
+
+@pytest.mark.parametrize("months_per_job", [1, 2, 12])
+def test_bulk_judges_every_month_on_its_own(spark, lake, months_per_job):
+    """An empty month in the middle fails alone, is reported, and comes up again first."""
+    from dataclasses import replace
+
+    from tripmart.operators.quality import RowCount
+
+    path = f"{lake.source}/yellow_tripdata_1998-06.parquet"
+    spark.read.parquet(path).limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}.empty")
+    os.rename(path, f"{path}.good")
+    os.rename(f"{path}.empty", path)
+    strict = replace(lake, rules=(RowCount(0),), months_per_job=months_per_job)
+    as_of = date(1998, 9, 1)
+    with pytest.raises(RunFailed, match="1998-06"):
+        run(spark, strict, as_of, ["yellow"], whole_backlog=True)
+    done = {p: s for (d, p), (_, _, s) in state(spark, strict).items()}
+    assert done == {"1998-05": "DONE", "1998-06": "FAILED", "1998-07": "DONE"}
+    months = read_silver(spark, strict.table("silver/trips")).select("month").distinct().collect()
+    assert sorted(r["month"] for r in months) == [5, 7]
+    report = spark.read.parquet(strict.table("quality")).collect()
+    assert {(r["period"], r["actual"] > 0, r["outcome"]) for r in report} == {
+        ("1998-05", True, "Passed"), ("1998-06", False, "Failed"), ("1998-07", True, "Passed"),
+    }
+    assert [tuple(r) for r in plan_run(spark, strict, as_of, ["yellow"]).collect()] == [("yellow", "1998-06")]
+
+
+def test_given_months_are_built_again(spark, lake):
+    as_of = date(1998, 8, 20)
+    run(spark, lake, as_of, ["green"])
+    before = read_mart(spark, lake, "demand_timeseries").agg(F.sum("nb_courses")).first()[0]
+    silver = lake.table("silver/trips")
+    from dataclasses import replace
+
+    loose = replace(lake, bounds=replace(lake.bounds, max_distance=5))
+    assert run(spark, loose, as_of, periods=[("green", "1998-05")]) == [("green", "1998-05")]
+    assert read_silver(spark, silver).agg(F.max("trip_distance")).first()[0] <= 5
+    after = read_mart(spark, lake, "demand_timeseries").agg(F.sum("nb_courses")).first()[0]
+    assert (after or 0) < (before or 1)
+
+
+def test_files_of_one_month_may_differ(spark, tmp_path):
+    raw = derived.raw_lines(spark, SMALL, "yellow").limit(30).cache()
+    folder = f"{tmp_path}/yellow/year=2024/month=01"
+    raw.coalesce(1).write.parquet(folder)
+    raw.drop("Airport_fee").coalesce(1).write.mode("append").parquet(folder)
+    raw.withColumn("passenger_count", F.lit(2).cast("long")).coalesce(1).write.mode("append").parquet(folder)
+    parts = scan_raw(spark, str(tmp_path), "yellow")
+    assert len(parts) == 3 and sum(align(p, "yellow").count() for p in parts) == 90
+    fees = sum(p.where("airport_fee is not null").count() for p in parts if "airport_fee" in p.columns)
+    assert fees == 2 * raw.where("Airport_fee is not null").count()
+
+
+def test_command_line():
+    from tripmart.__main__ import arguments
+
+    base = ["--source", "s", "--root", "r", "--zones", "z"]
+    assert arguments([*base, "--dataset", "yellow", "--year", "2024", "--month", "2"]).period == "2024-02"
+    with pytest.raises(SystemExit):
+        arguments([*base, "--backlog", "--period", "2024-02"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -24,26 +24,36 @@ def ratio(numerator: Column, denominator: Column, scale: float = 1.0) -> Column:
     return F.try_divide(numerator, denominator) * F.lit(scale)
 
 
-# Sketch sizes. A sketch is exact up to its size in rows; beyond,
-# the rank error of a median is about 0.01 and 0.07 per cent, and a sketch takes
-# some 600 and 80 KB however many rows it stands for.
-FINE, COARSE = 32_768, 4_096
-
-
-def sketch(column: str, size: int = FINE) -> Column:
-    """Mergeable quantile sketch of the values of a group."""
-    return F.kll_sketch_agg_double(F.col(column).cast("double"), size)
-
-
-def merged_sketch(column: str, size: int = FINE) -> Column:
-    return F.kll_merge_agg_double(column, size)
-
-
-def sketch_median(column: str) -> Column:
-    """Median from a sketch, NULL when it has seen no value."""
-    return F.when(
-        F.kll_sketch_get_n_double(column) > 0,
-        F.kll_sketch_get_quantile_double(column, F.lit(0.5)),
+def lower_median(counted: DataFrame, keys: tuple[str, ...], value: str, n: str) -> DataFrame:
+    """``keys`` and ``median`` from (keys, value, n) lines, n times a value each.
+
+    The value at rank ceil(total / 2): exact, and the same for any split of the
+    lines, so monthly counts can be added. A window never holds all distinct
+    values of a group: the whole units are ranked first, then only the values
+    inside the unit that holds the median.
+    """
+    unit = F.floor(F.col(value).cast("double"))
+    lines = counted.where(F.col(value).isNotNull()).withColumn("_unit", unit)
+    group = Window.partitionBy(*keys)
+    units = (
+        lines.groupBy(*keys, "_unit")
+        .agg(F.sum(n).alias("_in"))
+        .withColumn("_up_to", F.sum("_in").over(group.orderBy("_unit")))
+        .withColumn("_rank", F.ceil(F.sum("_in").over(group) / 2))
+        .where((F.col("_up_to") >= F.col("_rank")) & (F.col("_up_to") - F.col("_in") < F.col("_rank")))
+        .select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_unit").alias("_chosen"), (F.col("_rank") - F.col("_up_to") + F.col("_in")).alias("_left"))
+    )
+    same = F.col("_unit") == F.col("_chosen")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    # One unit per group is left: a small table, joined to the counted lines.
+    inside = lines.join(units, same).groupBy(*keys, value, "_left").agg(F.sum(n).alias("_n"))
+    up_to = F.sum("_n").over(group.orderBy(value))
+    return (
+        inside.withColumn("_up_to", up_to)
+        .where("_up_to >= _left")
+        .groupBy(*keys)
+        .agg(F.min(value).cast("double").alias("median"))
     )
 
 

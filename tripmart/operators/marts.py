@@ -16,11 +16,9 @@ from pyspark.sql import functions as F
 from tripmart.functions.measures import (
     TRIPS,
     iso_weekday,
-    merged_sketch,
+    lower_median,
     ratio,
     share_of,
-    sketch,
-    sketch_median,
     total,
 )
 from tripmart.functions.privacy import MIN_CELL, suppress_small_cells
@@ -127,40 +125,40 @@ def revenue_mart(
 SERVICE_SUMS = ("total_amount", "tip_amount", "fare_amount", "driver_pay")
 
 
-# Reducers that share the sketches of one service and borough.
-SPREAD = 64
-
-
 def service_comparison(trips: DataFrame, zones: Zones, k: int = MIN_CELL) -> DataFrame:
     """Services side by side in each borough, with their market share.
 
-    There are few groups, and each map task sends a sketch for every one of
-    its own. A first merge is therefore spread over several reducers a group;
-    the second one gets at most ``SPREAD`` lines a group.
+    Trips are first combined, inside map tasks, per service, pickup zone and
+    price; only these lines meet the zones and give sums and median.
     """
-    rows = trips.filter(F.col("total_amount") > 0).select(
-        "service_type", "pu_location_id", *SERVICE_SUMS
+    lines = (
+        trips.filter(F.col("total_amount") > 0)
+        .groupBy("service_type", "pu_location_id", F.col("total_amount").alias("price"))
+        .agg(_count(False), *[F.sum(c).alias(c) for c in SERVICE_SUMS])
+    )
+    place = {"pu_location_id": {"borough": "borough"}}
+    service = {"service_type": F.col("service_type")}
+    sums = sums_by_place(lines, zones, place, service, SERVICE_SUMS, carried=True)
+    prices = lines.select("service_type", "pu_location_id", F.col("price").alias("total_amount"), TRIPS)
+    return service_mart(with_median(sums, prices, zones), k)
+
+
+def with_median(cells: DataFrame, prices: DataFrame, zones: Zones) -> DataFrame:
+    """Service and borough cells with the median of (service, zone, price, trips) lines."""
+    counted = (
+        locate(prices, zones, "pu_location_id", borough="borough")
+        .groupBy("service_type", "borough", "total_amount")
+        .agg(F.sum(TRIPS).alias(TRIPS))
     )
-    spread = F.pmod(F.spark_partition_id(), F.lit(SPREAD)).alias("_spread")
-    first = (
-        locate(rows, zones, "pu_location_id", borough="borough")
-        .groupBy("service_type", "borough", spread)
-        .agg(
-            _count(False),
-            sketch("total_amount").alias("prices"),
-            *[F.sum(c).alias(c) for c in SERVICE_SUMS],
-        )
+    median = lower_median(counted, ("service_type", "borough"), "total_amount", TRIPS).select(
+        F.col("service_type").alias("_service"),
+        F.col("borough").alias("_borough"),
+        F.col("median").alias("panier_median"),
     )
-    cells = (
-        first.groupBy("service_type", "borough")
-        .agg(
-            _count(True),
-            merged_sketch("prices").alias("prices"),
-            *[F.sum(c).alias(c) for c in SERVICE_SUMS],
-        )
-        .withColumn("panier_median", sketch_median("prices"))
+    same = F.col("service_type").eqNullSafe(F.col("_service")) & F.col("borough").eqNullSafe(
+        F.col("_borough")
     )
-    return service_mart(cells, k)
+    return cells.join(median, same).drop("_service", "_borough")
 
 
 def service_mart(cells: DataFrame, k: int = MIN_CELL) -> DataFrame:

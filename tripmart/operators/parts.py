@@ -4,7 +4,7 @@ Rebuilding a datamart reads all history. These operators reduce each silver
 month once to small sums per location id; the marts are then put together from
 the sums of all months. A monthly run reads one month of trips, however long
 the history is. The results equal the direct ones: counts, sums and the ratios
-taken from them at the end. Only the median comes from a mergeable sketch.
+taken from them at the end; the median comes from the trips per distinct price.
 
 Sums are kept per location id, not per borough, so a corrected zone lookup
 needs no new reading of trips.
@@ -16,12 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.measures import (
-    COARSE,
     TRIPS,
     iso_weekday,
-    merged_sketch,
-    sketch,
-    sketch_median,
 )
 from tripmart.functions.privacy import MIN_CELL
 from tripmart.operators import marts
@@ -62,11 +58,11 @@ def route_part(trips: DataFrame) -> DataFrame:
 
 
 def price_part(trips: DataFrame) -> DataFrame:
-    """Sketch of the price paid per pickup zone."""
+    """Trips per distinct price paid in a pickup zone."""
     return (
         trips.filter(F.col("total_amount") > 0)
-        .groupBy(*PARTITIONS, "pu_location_id")
-        .agg(sketch("total_amount", COARSE).alias("prices"))
+        .groupBy(*PARTITIONS, "pu_location_id", "total_amount")
+        .agg(F.count(F.lit(1)).alias(TRIPS))
     )
 
 
@@ -98,20 +94,7 @@ def services_from_parts(
     sums = marts.sums_by_place(
         parts["route"], zones, place, service, marts.SERVICE_SUMS, carried=True
     )
-    prices = (
-        marts.locate(parts["price"], zones, "pu_location_id", borough="borough")
-        .groupBy("service_type", "borough")
-        .agg(merged_sketch("prices").alias("prices"))
-        .select(
-            F.col("service_type").alias("_service"),
-            F.col("borough").alias("_borough"),
-            sketch_median("prices").alias("panier_median"),
-        )
-    )
-    same = F.col("service_type").eqNullSafe(F.col("_service")) & F.col("borough").eqNullSafe(
-        F.col("_borough")
-    )
-    return marts.service_mart(sums.join(prices, same).drop("_service", "_borough"), k)
+    return marts.service_mart(marts.with_median(sums, parts["price"], zones), k)
 
 
 MARTS_FROM_PARTS = {

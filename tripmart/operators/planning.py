@@ -53,53 +53,66 @@ def last_done(state: DataFrame) -> DataFrame:
     )
 
 
-def next_periods(
+def backlog(
     datasets: DataFrame,
     state: DataFrame,
     as_of: Column,
     start: str = FIRST_PERIOD,
     lag_months: int = LAG_MONTHS,
 ) -> DataFrame:
-    """One planned month per dataset, or none when it is not published yet."""
-    follow = F.add_months(period_start(F.col("last_done")), 1)
-    candidate = F.coalesce(follow, period_start(F.lit(start)))
-    planned = F.when(candidate <= publishable_until(as_of, lag_months), candidate)
+    """Every published month of every dataset that is not done yet."""
+    first, last = period_start(F.lit(start)), publishable_until(as_of, lag_months)
+    months = F.when(
+        first <= last, F.sequence(first, last, F.expr("interval 1 month"))
+    ).otherwise(F.array().cast("array<date>"))
+    done = state.filter("silver_status = 'DONE'").select("dataset", "period")
     return (
-        datasets.select("dataset")
-        .join(last_done(state), "dataset", "left")
-        .select("dataset", planned.alias("day"))
+        datasets.select("dataset", F.explode(months).alias("day"))
         .select(
             "dataset",
             period_text(F.col("day")).alias("period"),
             F.year("day").alias("year"),
             F.month("day").alias("month"),
-            F.col("day").isNotNull().alias("hasWork"),
         )
+        .join(done, ["dataset", "period"], "left_anti")
     )
 
 
-def backlog(
+def next_periods(
     datasets: DataFrame,
     state: DataFrame,
     as_of: Column,
     start: str = FIRST_PERIOD,
     lag_months: int = LAG_MONTHS,
 ) -> DataFrame:
-    """Every published month of every dataset that is not done yet."""
-    first, last = period_start(F.lit(start)), publishable_until(as_of, lag_months)
-    months = F.when(
-        first <= last, F.sequence(first, last, F.expr("interval 1 month"))
-    ).otherwise(F.array().cast("array<date>"))
-    done = state.filter("silver_status = 'DONE'").select("dataset", "period")
+    """One planned month per dataset, or none when it is not published yet.
+
+    This is the month after the last one done. A month before it that was tried
+    and is not done, left behind by a bulk run, comes first.
+    """
+    follow = F.add_months(period_start(F.col("last_done")), 1)
+    candidate = F.coalesce(follow, period_start(F.lit(start)))
+    left = (
+        state.where("silver_status <> 'DONE'")
+        .join(last_done(state), "dataset")
+        .where((F.col("period") < F.col("last_done")) & (F.col("period") >= start))
+        .groupBy("dataset")
+        .agg(F.min("period").alias("gap"))
+    )
+    first = F.coalesce(period_start(F.col("gap")), candidate)
+    planned = F.when(first <= publishable_until(as_of, lag_months), first)
     return (
-        datasets.select("dataset", F.explode(months).alias("day"))
+        datasets.select("dataset")
+        .join(last_done(state), "dataset", "left")
+        .join(left, "dataset", "left")
+        .select("dataset", planned.alias("day"))
         .select(
             "dataset",
             period_text(F.col("day")).alias("period"),
             F.year("day").alias("year"),
             F.month("day").alias("month"),
+            F.col("day").isNotNull().alias("hasWork"),
         )
-        .join(done, ["dataset", "period"], "left_anti")
     )
 
 

@@ -134,9 +134,10 @@ SILVER_RULES: tuple[Rule, ...] = (
 class QualityGateError(Exception):
     """A gate failed; nothing was published."""
 
-    def __init__(self, failed: list[str]):
+    def __init__(self, failed: list[str], report: DataFrame | None = None):
         super().__init__(f"{len(failed)} quality rule(s) failed: {', '.join(failed)}")
         self.failed = failed
+        self.report = report
 
 
 def measures(rules: tuple[Rule, ...]) -> list[Column]:
@@ -178,4 +179,34 @@ def require_passed(report: DataFrame) -> None:
     """Raise when a rule failed. The report has one row per rule."""
     failed = [r["rule"] for r in report.filter("outcome = 'Failed'").collect()]
     if failed:
-        raise QualityGateError(failed)
+        raise QualityGateError(failed, report)
+
+
+def evaluate_months(
+    staged: DataFrame, months: DataFrame, rules: tuple[Rule, ...] = SILVER_RULES
+) -> DataFrame:
+    """(year, month, rule, actual, outcome) of every planned month.
+
+    ``months`` has (year, month). A month without rows has zero of them and no
+    measure that needs rows, so it fails its row count.
+    """
+    names = [f"m{i}" for i in range(len(rules))]
+    measured = staged.groupBy("year", "month").agg(*measures(rules))
+    # Counting rules measure 0 over no row; shares have no value there.
+    empty = staged.sparkSession.createDataFrame([(1,)], "one int").where("one = 0")
+    columns = {c: F.lit(None).cast(t.dataType) for c, t in ((f.name, f) for f in staged.schema.fields)}
+    nothing = empty.select(*[column.alias(name) for name, column in columns.items()]).agg(*measures(rules)).first()
+    filled = months.join(measured, ["year", "month"], "left").select(
+        "year",
+        "month",
+        *[F.coalesce(F.col(n), F.lit(nothing[n]).cast("double")).alias(n) for n in names],
+    )
+    lines = [
+        F.struct(
+            F.lit(rule.label).alias("rule"),
+            F.col(f"m{i}").alias("actual"),
+            F.when(rule.holds(F.col(f"m{i}")), "Passed").otherwise("Failed").alias("outcome"),
+        )
+        for i, rule in enumerate(rules)
+    ]
+    return filled.select("year", "month", F.explode(F.array(*lines)).alias("r")).select("year", "month", "r.*")

@@ -22,8 +22,8 @@ from tripmart.operators.planning import (
 )
 from tripmart.operators.quality import SILVER_RULES, Rule
 from tripmart.plans.refresh import build_marts, forget_parts, refresh_parts
-from tripmart.plans.silver import build_silver
-from tripmart.schema import DATASETS
+from tripmart.plans.silver import build_silver_months
+from tripmart.schema import DATASETS, check_dataset
 from tripmart.session import FILE_SIZING, in_parallel, prepare
 from tripmart.sources.files import Folder
 from tripmart.sources.lake import append_rows, publish_view, unified_trips
@@ -97,15 +97,25 @@ def _spans(periods: list[str], longest: int) -> list[tuple[Span, list[str]]]:
     return spans
 
 
+_REPORT = (
+    "dataset string, period string, evaluated_at string, rule string, actual double, outcome string"
+)
+
+
 def _clean_dataset(
     spark: SparkSession, lake: Lake, dataset: str, periods: list[str], pepper: str
 ) -> list[str]:
-    """Build silver for the landed periods; return the errors."""
+    """Build silver for the landed periods; return the errors.
+
+    A job covers several months, but each month is judged, published and
+    recorded on its own, as if it had been built alone.
+    """
     errors = []
     for span, names in _spans(periods, lake.months_per_job):
+        days = {name: parse_period(name) for name in names}
         try:
             forget_parts(spark, lake.table("parts"), dataset, names)
-            report = build_silver(
+            report = build_silver_months(
                 scan_raw(
                     spark,
                     lake.table("bronze"),
@@ -114,6 +124,7 @@ def _clean_dataset(
                 ),
                 dataset,
                 span,
+                [(day.year, day.month) for day in days.values()],
                 lake.table("silver/trips"),
                 pepper,
                 lake.bounds,
@@ -121,25 +132,27 @@ def _clean_dataset(
                 lake.files.get(dataset),
             )
             stamp = datetime.now(timezone.utc).isoformat()
-            append_rows(
-                report.select(
-                    F.lit(dataset).alias("dataset"),
-                    F.lit(names[0]).alias("first_period"),
-                    F.lit(names[-1]).alias("last_period"),
-                    F.lit(stamp).alias("evaluated_at"),
-                    "*",
-                ),
-                lake.table("quality"),
-            )
-            status = "DONE"
+            rows, failed = [], {}
+            for name, day in days.items():
+                for r in report:
+                    if (r["year"], r["month"]) == (day.year, day.month):
+                        rows.append((dataset, name, stamp, r["rule"], r["actual"], r["outcome"]))
+                        if r["outcome"] == "Failed":
+                            failed.setdefault(name, []).append(r["rule"])
+            # Failed months are reported as well: that is where the reasons are.
+            append_rows(spark.createDataFrame(rows, _REPORT), lake.table("quality"))
+            errors += [
+                f"{dataset} {name}: {len(rules)} quality rule(s) failed: {', '.join(rules)}"
+                for name, rules in failed.items()
+            ]
         except Exception as error:  # recorded; other datasets go on
             errors.append(f"{dataset} {names[0]}..{names[-1]}: {error}")
-            status = "FAILED"
+            failed = dict.fromkeys(names, [])
         record(
             spark,
             lake.table("registry"),
             "silver",
-            [(dataset, name, status, None) for name in names],
+            [(dataset, name, "FAILED" if name in failed else "DONE", None) for name in names],
         )
     return errors
 
@@ -154,15 +167,21 @@ def run(
     as_of: date,
     datasets: Iterable[str] = DATASETS,
     whole_backlog: bool = False,
+    periods: Iterable[tuple[str, str]] | None = None,
 ) -> list[tuple[str, str]]:
     """Process what is due and return the (dataset, period) pairs done.
 
-    The marts are rebuilt on every run, also when nothing was due, and only
+    ``periods`` names (dataset, period) pairs to build instead, whether they
+    are done or not; files that have landed are not fetched again. The marts are rebuilt on every run, also when nothing was due, and only
     when no dataset failed.
     """
     prepare(spark, FILE_SIZING)
     pepper = configured_pepper(spark)
-    plan = plan_run(spark, lake, as_of, datasets, whole_backlog)
+    if periods is None:
+        plan = plan_run(spark, lake, as_of, datasets, whole_backlog)
+    else:
+        asked = sorted({(check_dataset(d), parse_period(p).strftime("%Y-%m")) for d, p in periods})
+        plan = spark.createDataFrame(asked, "dataset string, period string")
     landings = land(spark, plan, lake.source, lake.table("bronze"))
     if landings:
         record(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 
 from tripmart.functions.privacy import pseudonymise
 from tripmart.operators.align import align, union_aligned
@@ -16,7 +16,7 @@ from tripmart.operators.clean import (
 )
 from tripmart.operators.quality import SILVER_RULES, Rule
 from tripmart.schema import IDENTIFIERS
-from tripmart.sources.lake import arrange, with_partitions, write_gated
+from tripmart.sources.lake import arrange, with_partitions, write_gated, write_gated_months
 
 
 def silver_trips(
@@ -49,3 +49,19 @@ def build_silver(
     """Write the span's silver partitions and return the rule table."""
     trips = silver_trips(raw, dataset, span, pepper, bounds)
     return write_gated(arrange(trips, span, files), target, rules)
+
+
+def build_silver_months(
+    raw: list[DataFrame],
+    dataset: str,
+    span: Span,
+    months: list[tuple[int, int]],
+    target: str,
+    pepper: str,
+    bounds: Bounds = Bounds(),
+    rules: tuple[Rule, ...] = SILVER_RULES,
+    files: int | None = None,
+) -> list[Row]:
+    """Build the span in one job; every month passes or fails the gate alone."""
+    trips = silver_trips(raw, dataset, span, pepper, bounds)
+    return write_gated_months(arrange(trips, span, files), target, months, rules)

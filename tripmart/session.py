@@ -23,9 +23,6 @@ _ADAPTIVE = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # Medians per zone have a few hundred groups of bounded sketches: hashing
-    # them beats the sort that would start at 128 groups.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "1024",
 }
 
 # Shuffle bytes are wider than Parquet bytes, so 256 MB of shuffle data gives

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.operators.clean import Span
 from tripmart.operators.quality import (
     SILVER_RULES,
     Rule,
+    evaluate_months,
     measures,
     require_passed,
     rule_table_from_observed,
@@ -82,6 +83,43 @@ def write_gated(
     return report
 
 
+def write_gated_months(
+    trips: DataFrame,
+    target: str,
+    months: list[tuple[int, int]],
+    rules: tuple[Rule, ...] = SILVER_RULES,
+    partitions: tuple[str, ...] = PARTITIONS,
+) -> list[Row]:
+    """Write several months in one job, judge and publish each on its own.
+
+    The staged files are read once more for the measures: these are grouped by
+    month, which an observation cannot do. Only months that pass are published;
+    the rows (year, month, rule, actual, outcome) of all of them are returned,
+    a few per planned month.
+    """
+    spark = trips.sparkSession
+    table = Folder(spark, target)
+    run = f"{_STAGING}/{uuid.uuid4().hex}"
+    staged = f"{target.rstrip('/')}/{run}"
+    try:
+        trips.write.mode("errorifexists").partitionBy(*partitions).parquet(f"{staged}/new")
+        written = spark.read.schema(trips.schema).parquet(f"{staged}/new")
+        planned = spark.createDataFrame(months, "year int, month int")
+        report = evaluate_months(written, planned, rules).collect()
+    except Exception:
+        table.delete(run)
+        raise
+    failed = {(r["year"], r["month"]) for r in report if r["outcome"] == "Failed"}
+    keep = set(months) - failed
+    depth = "/".join(f"{p}=*" for p in partitions)
+    for part in Folder(spark, f"{staged}/new").glob(depth):
+        values = dict(piece.split("=", 1) for piece in part.split("/"))
+        if (int(values["year"]), int(values["month"])) in keep:
+            table.move_here(f"{staged}/new/{part}", part, f"{staged}/old/{part}")
+    table.delete(run)
+    return report
+
+
 def overwrite_partitions(df: DataFrame, target: str, *partitions: str) -> None:
     """Replace only the partitions present in ``df``; an empty one changes nothing."""
     (

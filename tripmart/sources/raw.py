@@ -93,31 +93,36 @@ def scan_raw(
 ) -> list[DataFrame]:
     """Scans that together cover everything landed for a dataset.
 
-    Months with the same column names and types share one scan. A change of
-    type between months, which a merged schema would refuse, starts another.
+    Files with the same column names and types share one scan, also when a
+    month was delivered in several files of different shapes. A change of type,
+    which a merged schema would refuse, starts another scan.
 
     ``near`` keeps only the folders of that span and one month on either side.
     It saves listing and footer reads but loses trips that were delivered in a
     file further away, so it is off by default.
     """
     root = f"{raw_root.rstrip('/')}/{check_dataset(dataset)}"
-    months = Folder(spark, root).glob("year=*/month=*")
+    files = [f for f in Folder(spark, root).glob("year=*/month=*/*") if _is_data(f)]
     if near is not None:
-        months = [m for m in months if _within(m, near)]
+        files = [f for f in files if _within(f.rsplit("/", 1)[0], near)]
 
-    def shape(month: str) -> tuple:
-        schema = spark.read.parquet(f"{root}/{month}").schema
+    def shape(file: str) -> tuple:
+        schema = spark.read.parquet(f"{root}/{file}").schema
         return tuple((f.name.lower(), f.dataType.json()) for f in schema.fields)
 
     groups: dict[tuple, list[str]] = {}
-    for month, key in zip(months, in_parallel(spark, shape, months, 8)):
-        groups.setdefault(key, []).append(f"{root}/{month}")
+    for file, key in zip(files, in_parallel(spark, shape, files, 8)):
+        groups.setdefault(key, []).append(f"{root}/{file}")
     return [
-        lower_names(spark.read.option("basePath", root).parquet(*folders))
-        for folders in groups.values()
+        lower_names(spark.read.option("basePath", root).parquet(*group))
+        for group in groups.values()
     ]
 
 
+def _is_data(path: str) -> bool:
+    return not path.rsplit("/", 1)[1].startswith(("_", "."))
+
+
 def _within(folder: str, near: Span) -> bool:
     year, month = (int(part.split("=")[1]) for part in folder.split("/"))
     return next_month(near.start, -1) <= date(year, month, 1) <= near.end
