@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmart.functions.measures import TRIPS
 
+# What stands between pepper and value, and the smallest published cell.
 SEPARATOR = "§"
 MIN_CELL = 5
 # The name contains "secret" so that Spark redacts the value in its own pages.

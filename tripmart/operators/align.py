@@ -60,6 +60,7 @@ def _metered(prefix: str, *extra: str) -> RawShape:
     )
 
 
+# Raw columns of each dataset.
 SHAPES: dict[str, RawShape] = {
     "yellow": _metered("tpep", "airport_fee"),
     "green": _metered("lpep"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Fixed value: the datasets.
 DATASETS = ("yellow", "green", "fhvhv")
 
 # Canonical column order and types.
@@ -31,8 +32,10 @@ TRIP = T.StructType(
     ]
 )
 
+# Fixed value: columns that are pseudonymised.
 IDENTIFIERS = ("dispatching_base_num", "originating_base_num", "hvfhs_license_num")
 
+# Fixed value: columns every trip needs.
 MANDATORY = (
     "pickup_datetime",
     "dropoff_datetime",
@@ -43,6 +46,7 @@ MANDATORY = (
     "do_location_id",
 )
 
+# Fixed value: partition columns of silver.
 PARTITIONS = ("service_type", "year", "month")
 
 # Silver files: the canonical columns plus the two derived partition columns.
@@ -54,7 +58,7 @@ SILVER = T.StructType(
     ]
 )
 
-# Columns that may leave silver; everything else is minimised away.
+# Fixed value: columns that may leave silver; everything else is minimised away.
 UNIFIED = (
     "service_type",
     "pickup_datetime",
