@@ -73,10 +73,11 @@ def _words(column):
 
 
 def _bigrams(words):
-    """Distinct bigrams of an array of two words or more."""
+    """Distinct bigrams of an array of words."""
+    # Filters may be moved below this, so it has to hold for no word as well.
     pairs = F.zip_with(
-        F.slice(words, F.lit(1), F.size(words) - 1),
-        F.slice(words, F.lit(2), F.size(words) - 1),
+        F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))),
+        F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))),
         lambda a, b: F.concat(a, F.lit(" "), b),
     )
     return F.array_distinct(pairs)

@@ -126,9 +126,10 @@ def digest(found: DataFrame) -> DataFrame:
             ",",
         )
 
-    counts = [
-        F.size(F.filter("kinds", lambda k, i=i: k == i)).cast("bigint").alias(f"n_{KINDS[i]}") for i in range(BASE)
-    ]
+    def number(kind: int):
+        return F.size(F.filter("kinds", lambda k: k == kind)).cast("bigint").alias(f"n_{KINDS[kind]}")
+
+    counts = [number(kind) for kind in range(BASE)]
     base = F.filter(span, lambda s: s["kinds"] < BASE)
     return found.select(
         "doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(span).alias("spans"), "blob"
