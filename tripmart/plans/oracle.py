@@ -8,9 +8,8 @@ from __future__ import annotations
 
 _ZONES = """
 zones AS (
-  SELECT CAST(n_nationkey + 1 AS BIGINT) AS locationid, r_name AS borough, n_name AS zone
-  FROM nation JOIN region ON n_regionkey = r_regionkey
-  WHERE n_nationkey < 24)"""
+  SELECT CAST(CASE WHEN n_nationkey < 24 THEN n_nationkey + 1 ELSE 265 END AS BIGINT) AS locationid, r_name AS borough, n_name AS zone
+  FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
 _LINES = """
 lines AS (

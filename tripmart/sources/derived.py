@@ -25,13 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as zones, regions as boroughs; the last nation stays unmapped."""
+    """Nations as zones, regions as boroughs.
+
+    The last nation has a zone id that no trip uses, so that its trips are unmapped.
+    """
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return (
-        nation.filter("n_nationkey < 24")
-        .join(region, nation.n_regionkey == region.r_regionkey)
+        nation.join(region, nation.n_regionkey == region.r_regionkey)
         .select(
-            (F.col("n_nationkey") + 1).cast("long").alias("locationid"),
+            F.when(F.col("n_nationkey") < 24, F.col("n_nationkey") + 1).otherwise(265).cast("long").alias("locationid"),
             F.col("r_name").alias("borough"),
             F.col("n_name").alias("zone"),
         )
