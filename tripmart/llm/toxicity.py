@@ -40,8 +40,8 @@ LONGEST_STEM = 9
 #: Words on each side of a match that count as its context.
 WINDOW = 8
 FIT_ROWS = 50_000
-#: Words remembered as matching nothing, per task.
-REMEMBERED = 400_000
+#: Words remembered as matching nothing, per process.
+REMEMBERED = 1_000_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 _OPEN, _CLOSE = "\"“„«‹‘'", "\"”“»›’'"
@@ -138,27 +138,53 @@ def build_trie(words: list[str]) -> dict:
     return root
 
 
-def near_terms(word: str, trie: dict, most: int = 1) -> list[str]:
-    """Terms of the trie within ``most`` edits of a word.
+def near_terms(word: str, trie: dict) -> list[str]:
+    """Terms of the trie within one edit of a word.
 
-    A state is the row of edit distances between the term so far and all
-    beginnings of the word; a branch ends when its least entry exceeds ``most``.
+    The states of the word's Levenshtein automaton are a place in the word and
+    whether the edit is spent. The unspent states follow the word itself; from
+    each of them every edit leads to a spent state, which has to match exactly.
     """
-    found = []
-    stack = [(trie, list(range(len(word) + 1)))]
-    while stack:
-        node, row = stack.pop()
-        if "" in node and row[-1] <= most:
-            found.append(node[""])
+    found = set()
+
+    def exact(node: dict, at: int) -> None:
+        while at < len(word):
+            node = node.get(word[at])
+            if node is None:
+                return
+            at += 1
+        if "" in node:
+            found.add(node[""])
+
+    node: dict | None = trie
+    for at in range(len(word) + 1):
+        exact(node, at + 1) if at < len(word) else None  # a letter too many
         for letter, child in node.items():
-            if letter == "":
-                continue
-            new = [row[0] + 1]
-            for i, own in enumerate(word):
-                new.append(min(new[i] + 1, row[i + 1] + 1, row[i] + (own != letter)))
-            if min(new) <= most:
-                stack.append((child, new))
-    return found
+            if letter:
+                exact(child, at)  # a letter missing
+                if at < len(word) and letter != word[at]:
+                    exact(child, at + 1)  # another letter
+        if at == len(word):
+            if "" in node:
+                found.add(node[""])
+            break
+        node = node.get(word[at])
+        if node is None:
+            break
+    return sorted(found)
+
+
+def _shorter(word: str) -> list[str]:
+    """A word and all its forms with one letter left out."""
+    return [word, *[word[:i] + word[i + 1 :] for i in range(len(word))]]
+
+
+def _whole_word(text: str, word: str, start: int) -> int:
+    """Place of the next occurrence of a word that is not part of a longer one."""
+    at = text.find(word, start)
+    while (at > 0 and _WORD.match(text, at - 1)) or _WORD.match(text, at).end() != at + len(word):
+        at = text.find(word, at + 1)
+    return at
 
 
 class Matcher:
@@ -169,10 +195,8 @@ class Matcher:
         self.stems = {t[:-1]: w for t, w in lexicon.items() if t[-1] == "*"}
         fuzzy = [t for t in self.words if len(t) >= FUZZY]
         self.trie = build_trie(fuzzy)
-        # One edit leaves one half of the term whole, at its end of the word.
-        self.heads = {t[: len(t) // 2] for t in fuzzy}
-        self.tails = {t[len(t) // 2 :] for t in fuzzy}
-        self.sizes = {len(t) // 2 for t in fuzzy}, {len(t) - len(t) // 2 for t in fuzzy}
+        # Within one edit, a word and a term share themselves or a form with one letter less.
+        self.forms = {form for t in fuzzy for form in _shorter(t)}
         self.known: dict[str, tuple[float, int]] = {}
         self.none: set[str] = set()
 
@@ -183,16 +207,15 @@ class Matcher:
         for n in range(min(len(word) - 1, LONGEST_STEM), STEM - 1, -1):
             if word[:n] in self.stems:
                 return self.stems[word[:n]], 1
-        if len(word) >= FUZZY - 1 and (
-            any(word[:n] in self.heads for n in self.sizes[0]) or any(word[-n:] in self.tails for n in self.sizes[1])
-        ):
+        if len(word) >= FUZZY - 1 and not self.forms.isdisjoint(_shorter(word)):
             near = near_terms(word, self.trie)
             if near:
                 return max(self.words[t] for t in near), 2
         return None
 
     def features(self, text: str) -> list[float]:
-        found = _WORD.findall(text.lower())
+        low = text.lower()
+        found = _WORD.findall(low)
         hits = []
         for word in set(found) - self.none:
             own = self.known.get(word)
@@ -208,24 +231,24 @@ class Matcher:
         n = len(found)
         if not hits:
             return [0.0] * (FEATURES - 1) + [np.log1p(n)]
-        return self._judge(text, dict(hits), n)
+        return self._judge(low, found, dict(hits), n)
 
-    def _judge(self, text: str, hits: dict[str, tuple[float, int]], n: int) -> list[float]:
-        low = text.lower()
-        # Positions are taken in the lower-cased text, whose length may differ.
-        spans = [(m.group(), m.start(), m.end()) for m in _WORD.finditer(low)]
-        at = [i for i, s in enumerate(spans) if s[0] in hits]
+    def _judge(self, low: str, found: list[str], hits: dict[str, tuple[float, int]], n: int) -> list[float]:
+        at = [i for i, word in enumerate(found) if word in hits]
         places = set(at)
+        end = 0
         sums, number, abuse, quoted = [0.0, 0.0, 0.0], 0, 0.0, 0.0
         for i in at:
-            word, start, end = spans[i]
+            word = found[i]
+            start = _whole_word(low, word, end)
+            end = start + len(word)
             weight, kind = hits[word]
             sums[kind] += weight
             number += 1
-            window = range(max(0, i - WINDOW), min(len(spans), i + WINDOW + 1))
+            window = range(max(0, i - WINDOW), min(n, i + WINDOW + 1))
             before, after = low[max(0, start - 1) : start], low[end : end + 1]
             is_quoted = (before and before in _OPEN and after and after in _CLOSE) or any(
-                spans[j][0] in _REPORTING for j in window if j < i
+                found[j] in _REPORTING for j in window if j < i
             )
             if is_quoted:
                 quoted += weight
@@ -244,9 +267,21 @@ class Matcher:
         ]
 
 
+_matchers: dict[int, Matcher] = {}
+
+
+def matcher_of(lexicon: dict[str, float]) -> Matcher:
+    """The matcher of this process, with the words it has met in earlier tasks."""
+    key = hash(frozenset(lexicon.items()))
+    if key not in _matchers:
+        _matchers.clear()
+        _matchers[key] = Matcher(lexicon)
+    return _matchers[key]
+
+
 def _measure(lexicon):
     def run(batches):
-        matcher = Matcher(lexicon.value)
+        matcher = matcher_of(lexicon.value)
         for batch in batches:
             rows = [matcher.features(text.as_py() or "") for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
@@ -301,7 +336,7 @@ def _scores(matcher: Matcher, model, texts: pa.Array) -> np.ndarray:
 
 def _score(lexicon, model, threshold: float):
     def run(batches):
-        matcher = Matcher(lexicon.value)
+        matcher = matcher_of(lexicon.value)
         for batch in batches:
             score = _scores(matcher, model, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
@@ -314,7 +349,7 @@ def _score(lexicon, model, threshold: float):
 
 def _keep(lexicon, model, threshold: float):
     def run(batches):
-        matcher = Matcher(lexicon.value)
+        matcher = matcher_of(lexicon.value)
         for batch in batches:
             yield batch.filter(pa.array(_scores(matcher, model, batch.column("text")) < threshold))
 
