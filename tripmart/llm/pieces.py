@@ -33,7 +33,10 @@ MARK = "▁"
 #: Default place of the public vocabulary; a parameter of the operators.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters encoded in one step, and words remembered per task.
-STEP, REMEMBERED = 1 << 20, 300_000
+STEP, REMEMBERED = 1 << 20, 1_000_000
+
+#: Rank of what is no piece.
+NONE = float("inf")
 
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -64,7 +67,17 @@ class Encoder:
         self.bytes, self.unknown = vocabulary["bytes"], vocabulary["unknown"]
         self.byte_of = {i: bytes([b]) for b, i in self.bytes.items()}
         self.unigram = unigram
-        self.longest = max(map(len, self.ids), default=1)
+        # Pieces of higher scores merge first.
+        self.rank = {p: -self.scores[i] for p, i in self.ids.items()}
+        # Lengths of the pieces that end in two given letters, longest first.
+        ends: dict[str, set[int]] = {}
+        for piece in self.ids:
+            if len(piece) > 1:
+                ends.setdefault(piece[-2:], set()).add(len(piece))
+        self.lengths = {e: (*sorted(n, reverse=True), 1) for e, n in ends.items()}
+        is_byte = np.zeros(len(self.pieces), bool)
+        is_byte[list(self.bytes.values())] = True
+        self.is_byte = is_byte
         self.penalty = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10.0
         # Words may be cut before marks only if no piece has a mark after another letter.
         self.cuts = all(MARK not in p.lstrip(MARK) for p in self.ids)
@@ -73,16 +86,20 @@ class Encoder:
 
     def merged(self, text: str) -> list[str]:
         """Pieces left by merging the best scored neighbours first, leftmost among equals."""
+        get = self.rank.get
         parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                own = self.ids.get(parts[i] + parts[i + 1])
-                if own is not None and (best is None or self.scores[own] > best):
-                    best, at = self.scores[own], i
-            if best is None:
+        ranks = [get(a + b, NONE) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == NONE:
                 break
+            at = ranks.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = get(parts[at] + parts[at + 1], NONE)
+            if at:
+                ranks[at - 1] = get(parts[at - 1] + parts[at], NONE)
         return parts
 
     def _follows(self, one: str, two: str) -> bool:
@@ -97,7 +114,9 @@ class Encoder:
     def _state(self, word: str, end: int, states: list[tuple[int, float]]) -> tuple[int, float]:
         """Length and score of the piece that ends the encoding of ``word[:end]``."""
         best: tuple[int, float] | None = None
-        for n in range(min(end, self.longest), 0, -1):
+        for n in self.lengths.get(word[end - 2 : end], (1,)) if end > 1 else (1,):
+            if n > end:
+                continue
             piece = word[end - n : end]
             own = self.ids.get(piece)
             if own is None and n > 1:
@@ -154,9 +173,12 @@ class Encoder:
         get = self.words.__getitem__
         return [np.fromiter(chain.from_iterable(map(get, words)), np.int32) for words in split]
 
-    def decode(self, ids) -> str:
+    def decode(self, ids: np.ndarray) -> str:
+        own = ids.tolist()
+        if not self.is_byte[ids].any():
+            return "".join(map(self.pieces.__getitem__, own)).replace(MARK, " ")[1:]
         out, held = [], b""
-        for i in ids:
+        for i in own:
             byte = self.byte_of.get(i)
             if byte is not None:
                 held += byte
@@ -170,9 +192,21 @@ class Encoder:
         return "".join(out).replace(MARK, " ")[1:]
 
 
+_encoders: dict[tuple, Encoder] = {}
+
+
+def encoder_of(vocabulary: dict, unigram: bool = False) -> Encoder:
+    """The encoder of this process, with the words it has met in earlier tasks."""
+    key = (hash(tuple(vocabulary["pieces"])), hash(tuple(vocabulary["scores"])), unigram)
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(vocabulary, unigram)
+    return _encoders[key]
+
+
 def _encode(vocabulary, unigram: bool):
     def run(batches):
-        encoder = Encoder(vocabulary.value, unigram)
+        encoder = encoder_of(vocabulary.value, unigram)
         for batch in batches:
             texts = batch.column("text")
             first = 0
@@ -182,7 +216,7 @@ def _encode(vocabulary, unigram: bool):
                     own.append(texts[first + len(own)].as_py() or "")
                     size += len(own[-1])
                 ids = encoder.encode_all(own)
-                decoded = [encoder.decode(i.tolist()) for i in ids]
+                decoded = [encoder.decode(i) for i in ids]
                 flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
                 ends = np.cumsum([0, *map(len, ids)])
                 digests = [hashlib.sha256(t.encode("utf-8", "replace")).hexdigest() for t in decoded]
@@ -216,9 +250,9 @@ def encode_texts(docs: DataFrame, model: str = MODEL, unigram: bool = False) ->
 
 def _decode(vocabulary):
     def run(batches):
-        encoder = Encoder(vocabulary.value)
+        encoder = encoder_of(vocabulary.value)
         for batch in batches:
-            texts = [encoder.decode(i.as_py() or []) for i in batch.column("ids")]
+            texts = [encoder.decode(np.array(i.as_py() or [], np.int64)) for i in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return run
