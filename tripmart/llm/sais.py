@@ -3,9 +3,9 @@
 Suffixes are classified as smaller or larger than their right neighbour. The
 substrings between leftmost-smaller positions are sorted by one round of
 inducing, named, and their order is found by recursion if names repeat; a
-second round induces the order of all suffixes in linear time. For small
-alphabets a round handles whole stretches of a bucket at once, for the large
-alphabets of the recursion it handles suffixes one by one.
+second round induces the order of all suffixes in linear time. A round handles
+whole stretches of a bucket at once, which pays for small alphabets; a reduced
+text with more names than that ends the recursion and is sorted by doubling.
 """
 
 from __future__ import annotations
@@ -43,14 +43,15 @@ def _grouped(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, own, rank
 
 
-def _induce_wide(text, smaller, starts, ends, seeds, small: int):
+def _induce(text, smaller, starts, ends, seeds, small: int):
     """Order of all suffixes induced from the given order of leftmost-smaller ones."""
     n = len(text)
+    text = text.astype(np.uint16)  # short symbols are sorted by radix
     suffixes = np.full(n, -1, np.int64)
-    _, own, rank = _grouped(text[seeds]) if len(seeds) else (None, seeds, seeds)
-    order = np.argsort(text[seeds], kind="stable")
     count = np.bincount(text[seeds], minlength=small)
-    suffixes[ends[own] - count[own] + rank] = seeds[order]
+    if len(seeds):
+        order, own, rank = _grouped(text[seeds])
+        suffixes[ends[own] - count[own] + rank] = seeds[order]
 
     head = starts.copy()
 
@@ -61,7 +62,7 @@ def _induce_wide(text, smaller, starts, ends, seeds, small: int):
         if len(before):
             order, own, rank = _grouped(text[before])
             suffixes[head[own] + rank] = before[order]
-            np.add.at(head, own, 1)
+            head[:] += np.bincount(own, minlength=small)
 
     for c in range(small):
         at = starts[c]
@@ -80,7 +81,7 @@ def _induce_wide(text, smaller, starts, ends, seeds, small: int):
         if len(before):
             order, own, rank = _grouped(text[before])
             suffixes[tail[own] - 1 - rank] = before[order]
-            np.subtract.at(tail, own, 1)
+            tail[:] -= np.bincount(own, minlength=small)
 
     # The last suffix has no right neighbour that could induce it.
     last = text[n - 1]
@@ -101,31 +102,30 @@ def _induce_wide(text, smaller, starts, ends, seeds, small: int):
     return suffixes
 
 
-def _induce_each(text, smaller, starts, ends, seeds, small: int):
-    """The same, suffix by suffix."""
-    n = len(text)
-    symbols, kind = text.tolist(), smaller.tolist()
-    out = [-1] * n
-    tail = ends.tolist()
-    for p in seeds[::-1].tolist():
-        c = symbols[p]
-        tail[c] -= 1
-        out[tail[c]] = p
-    head = starts.tolist()
-    for i in range(n):
-        j = out[i] - 1
-        if j >= 0 and not kind[j]:
-            c = symbols[j]
-            out[head[c]] = j
-            head[c] += 1
-    tail = ends.tolist()
-    for i in range(n - 1, -1, -1):
-        j = out[i] - 1
-        if j >= 0 and kind[j]:
-            c = symbols[j]
-            tail[c] -= 1
-            out[tail[c]] = j
-    return np.array(out, np.int64)
+def _by_doubling(names: np.ndarray) -> np.ndarray:
+    """Suffix array by ranks of doubled length; only ranks that are still shared are sorted again."""
+    n = len(names)
+    order = np.argsort(names, kind="stable")
+    rank = np.zeros(n, np.int64)
+    own = names[order]
+    first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+    rank[order] = np.repeat(first, np.diff(np.r_[first, n]))
+    length = 1
+    while True:
+        size = np.diff(np.r_[np.flatnonzero(np.r_[True, np.diff(rank[order]) > 0]), n])
+        shared = np.flatnonzero(np.repeat(size, size) > 1)
+        if not len(shared):
+            return order
+        at = order[shared]
+        following = np.where(at + length < n, rank[np.minimum(at + length, n - 1)] + 1, 0)
+        key = rank[at] * (n + 1) + following
+        sort = np.argsort(key, kind="stable")
+        at, key = at[sort], key[sort]
+        order[shared] = at
+        # The rank is the place of the first of equal ones.
+        new = np.r_[True, key[1:] != key[:-1]]
+        rank[at] = shared[np.flatnonzero(new)][np.cumsum(new) - 1]
+        length *= 2
 
 
 def _names(text, found, order) -> tuple[np.ndarray, int]:
@@ -154,13 +154,14 @@ def suffix_array(text: np.ndarray, small: int) -> np.ndarray:
     n = len(text)
     if n == 1:
         return np.zeros(1, np.int64)
+    if small > SMALL:
+        return _by_doubling(text)
     smaller = classify(text)
     found = leftmost(smaller)
     sizes = np.bincount(text, minlength=small)
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    induce = _induce_wide if small <= SMALL else _induce_each
-    rough = induce(text, smaller, starts, ends, found, small)
+    rough = _induce(text, smaller, starts, ends, found, small)
     marked = np.zeros(n, bool)
     marked[found] = True
     order = rough[marked[rough]]
@@ -170,7 +171,7 @@ def suffix_array(text: np.ndarray, small: int) -> np.ndarray:
         reduced[order] = names
         reduced = reduced[found]
         order = found[suffix_array(reduced, count)]
-    return induce(text, smaller, starts, ends, order, small)
+    return _induce(text, smaller, starts, ends, order, small)
 
 
 def common_prefixes(text: np.ndarray, suffixes: np.ndarray, most: int) -> np.ndarray:
@@ -184,13 +185,20 @@ def common_prefixes(text: np.ndarray, suffixes: np.ndarray, most: int) -> np.nda
     before[suffixes[1:]] = suffixes[:-1]
     out = np.zeros(n, np.int64)
     alive = np.flatnonzero(before >= 0)
-    other = before[alive]
-    for _ in range(most):
-        fits = (alive + out[alive] < n) & (other + out[alive] < n)
-        alive, other = alive[fits], other[fits]
-        equal = text[alive + out[alive]] == text[other + out[alive]]
-        alive, other = alive[equal], other[equal]
-        if not len(alive):
-            break
-        out[alive] += 1
+    for symbols in (4, 1):
+        if symbols == 4 and (most < 4 or text.max(initial=0) > 0xFFFF):
+            continue
+        # Four symbols at a time in one word, then what is left one by one. The
+        # end compares unequal to everything, so nothing runs past it.
+        own = np.r_[text, np.zeros(symbols - 1, text.dtype)].astype(np.uint64)
+        word = sum(own[j : n + j] << np.uint64(16 * j) for j in range(symbols))
+        todo, other, at = alive, before[alive], out[alive]
+        for _ in range(most // symbols):
+            fits = (todo + at + symbols <= n) & (other + at + symbols <= n) & (at + symbols <= most)
+            todo, other, at = todo[fits], other[fits], at[fits]
+            equal = word[todo + at] == word[other + at]
+            todo, other, at = todo[equal], other[equal], at[equal] + symbols
+            if not len(todo):
+                break
+            out[todo] = at
     return out

@@ -5,9 +5,10 @@ A byte goes if a string of WINDOW bytes that covers it also starts earlier.
 * Every window is assigned to its least hashed PIECE-byte string, its anchor.
   Equal windows have equal anchors, so the windows of one anchor can be compared
   apart from all others. Neighbouring windows with one anchor form a stretch.
-* Anchors that occur once cannot repeat. The occurrences are counted exactly
-  (packed, by 32 bits of the anchor), and those counted twice mark a bit filter
-  of fixed size; a wrongly passed anchor costs work, never a result.
+* Two equal windows agree on the anchor and on SIDE bytes before or behind it.
+  The occurrences of both are counted exactly (packed, by 32 bits of a hash),
+  and those counted twice mark a bit filter of fixed size; a stretch with neither
+  side marked cannot repeat, one passed wrongly costs work, never a result.
 * Equal stretches are one class: all but its first occurrence go entirely.
 * Anchors with different stretches are dealt into shards of bounded size. A
   shard's texts are joined, sorted by suffix (induced sorting) and compared with
@@ -37,9 +38,10 @@ from tripmart.llm.tally import PACKED, merge, pack
 from tripmart.llm.words import mix, powers
 
 WINDOW, PIECE = 100, 24
+SIDE = (WINDOW - PIECE) // 2
 #: Bytes of text in one suffix array, and of one anchor beyond which its windows are compared singly.
 SHARD_BYTES, HOT_BYTES = 1 << 20, 4 << 20
-#: Bits of the filter of repeated anchors (sent to all tasks, 16 MB).
+#: Bits of the filter of repeated anchor sides (sent to all tasks, 16 MB).
 FILTER_BITS = 27
 #: Bytes of a text looked at in one step; a longer text is cut, overlapping by a window.
 LONGEST = 1 << 23
@@ -48,7 +50,8 @@ _BYTE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64)
 
 
 def stretches(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Document, first byte, number of windows, anchor and content hash of all stretches.
+    """Document, first byte, number of windows, anchor, content hash and the hashes of the
+    anchor with the bytes before and behind it (0 if the stretch holds fewer) of all stretches.
 
     ``at`` holds the offsets of the documents in ``raw``; first bytes are
     relative to ``at[0]``.
@@ -58,7 +61,7 @@ def stretches(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     none = np.zeros(0, np.int64)
     open_at = np.flatnonzero(np.diff(at) >= WINDOW)
     if not len(open_at):
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, *[none.astype(np.uint64)] * 4
     up, down = powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[raw] * up[:n], out=total[1:])
@@ -79,11 +82,21 @@ def stretches(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     start = windows[first]
     number = np.diff(np.r_[first, len(windows)])
     content = mix((total[start + number + WINDOW - 1] - total[start]) * down[start] + number.astype(np.uint64))
-    return np.searchsorted(at, start, side="right") - 1, start, number, chosen[first] >> np.uint64(24), content
+    place = (chosen[first] & np.uint64((1 << 24) - 1)).astype(np.int64)
+    end = start + number + WINDOW - 1
+
+    def side(low, high, fits, tag):
+        low, high = np.where(fits, low, 0), np.where(fits, high, 0)
+        return np.where(fits, mix((total[high] - total[low]) * down[low] + np.uint64(tag)) | np.uint64(1), np.uint64(0))
+
+    before = side(place - SIDE, place + PIECE, place - SIDE >= start, 1)
+    behind = side(place, place + PIECE + SIDE, place + PIECE + SIDE <= end, 2)
+    doc = np.searchsorted(at, start, side="right") - 1
+    return doc, start, number, chosen[first] >> np.uint64(24), content, before, behind
 
 
 def _pieces(batch):
-    """doc_id, first byte in the document, number, anchor and content of all stretches of a batch."""
+    """doc_id, first byte in the document and the rest of ``stretches`` of a batch."""
     at, raw = byte_view(batch.column("text"))
     ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
     for first, end in steps(at):
@@ -97,17 +110,18 @@ def _pieces(batch):
         yield ids[first + doc], start - (at[first + doc] - at[first]), *rest
 
 
-def _key(anchor: np.ndarray) -> np.ndarray:
-    return (anchor >> np.uint64(8)).astype(np.uint32)
+def _key(side: np.ndarray) -> np.ndarray:
+    return (side >> np.uint64(32)).astype(np.uint32)
 
 
 def _tally(shards: int):
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            for *_, anchor, _ in _pieces(batch):
-                held.append(_key(anchor))
-                size += len(anchor)
+            for *_, before, behind in _pieces(batch):
+                for side in (before, behind):
+                    held.append(_key(side[side > 0]))
+                    size += len(held[-1])
             if size > 8_000_000:
                 yield pack(np.concatenate(held), shards)
                 held, size = [], 0
@@ -131,7 +145,7 @@ def _mark(shards: int):
 
 
 def repeated_filter(docs: DataFrame) -> np.ndarray:
-    """Packed bits of the anchors that occur twice or more, of fixed size."""
+    """Packed bits of the anchor sides that occur twice or more, of fixed size."""
     shards = 1 << max(6, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")).bit_length())
     rows = (
         docs.mapInArrow(_tally(shards), PACKED)
@@ -157,9 +171,11 @@ def _candidates(bits):
         parts = []
         for batch in batches:
             for piece in _pieces(batch):
-                at = (piece[3] >> np.uint64(40 - FILTER_BITS)).astype(np.int64)
-                keep = packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1
-                parts.append([column[keep > 0] for column in piece])
+                keep = np.zeros(len(piece[0]), bool)
+                for side in piece[5:]:
+                    at = (_key(side) >> np.uint32(32 - FILTER_BITS)).astype(np.int64)
+                    keep |= (side > 0) & ((packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1) > 0)
+                parts.append([column[keep] for column in piece[:5]])
             if sum(len(p[0]) for p in parts) > 4_000_000:
                 yield from _split(parts)
                 parts = []
