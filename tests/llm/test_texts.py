@@ -249,6 +249,21 @@ def test_leaks_equal_the_planted_ones(spark):
     assert found <= planted and len(found) >= 0.97 * len(planted)
 
 
+def test_leaks_of_long_items_edited_at_the_front(spark):
+    draw = random.Random(8)
+    words = [f"term{i}" for i in range(5000)]
+    items = [(i, " ".join(draw.choice(words) for _ in range((100, 200, 400)[i % 3]))) for i in range(24)]
+    texts = []
+    for i, item in items:
+        own = item.split()
+        cut = len(own) // 5
+        own[:cut] = [] if i % 2 else [f"other{j}" for j in range(cut)]
+        texts.append(" ".join([*draw.choices(words, k=50), *own, *draw.choices(words, k=50)]))
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontam.find_leaks(docs_of(spark, texts), benchmark).collect()}
+    assert found == {(i, i) for i, _ in items}
+
+
 def test_edits_equal_the_full_table():
     draw = np.random.default_rng(6)
     for _ in range(200):

@@ -1,23 +1,25 @@
-"""Benchmark decontamination by CGK embedding, bit-sampling LSH and edit verification.
+"""Benchmark decontamination by intact pieces and edit verification.
 
 Texts and items are sequences of words (ASCII punctuation and white space
-separate, A-Z count as a-z). A window of an item's size starts at every word.
-
-* A window that holds an item within the allowed edits consists mostly of item
-  words. Windows with fewer of them than the edits allow are skipped; this
+separate, A-Z count as a-z).
+
+* An item of n words that may have k edits is cut into k + 1 pieces over all
+  of its length. Fewer pieces than k + 1 can be edited, so every stretch within
+  the allowed edits holds one of them unchanged: no match is without a
+  candidate, whatever its size and wherever its edits lie (recall 1). An item
+  that has to be exact is one piece.
+* All words of the texts are looked up in the pieces of each length. A hit gives
+  the place where its item would begin; nearby places share one window.
+* Windows with fewer words of their item than the edits allow are skipped; this
   loses none.
-* The CGK walk writes the current word at every step and moves on or stays by a
-  random bit of the word. Sequences of small edit distance mostly write the
-  same words at the same steps, so edit distance becomes Hamming distance.
-* Each of several tables samples some steps; a window and an item that agree on
-  all of a table's samples are candidates. Walks and tables are repeated so
-  that a pair at the allowed distance is met with the target recall.
-* Candidates are verified by the exact edit distance between the item and the
-  best stretch of words around the window's start.
-
-Defined results: null and empty texts and items without words match nothing;
-repeated rows give repeated rows; a null doc_id is reported as null; further
-columns are ignored. Items of fewer words than 1 / allowed have to be exact.
+* The rest is verified by the exact edit distance between the item and the best
+  stretch of words in the window, many windows at once.
+
+Defined results: the best stretch has the fewest edits, then the earliest end,
+then the latest first word; null and empty texts and items without words match
+nothing; repeated rows give repeated rows; a null doc_id is reported as null;
+further columns are ignored. Items of fewer words than 1 / allowed have to be
+exact.
 """
 
 from __future__ import annotations
@@ -28,19 +30,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.shared import byte_view, small_side, steps, stored
-from tripmart.llm.words import mix, word_hashes
+from tripmart.llm.words import word_hashes
 
 #: Edits allowed, as a share of an item's words.
 ALLOWED = 0.2
-#: Independent walks, tables of each walk and sampled steps of each table.
-WALKS, TABLES, SAMPLES = 3, 8, 5
-#: Steps of a walk at most; items are told apart by their beginning.
-STEPS = 64
+#: First words of a piece that are looked up; an unchanged piece has them unchanged.
+LOOKED_UP = 8
 #: Items sent to all tasks at once; more are handled in further passes.
 ITEMS = 20_000
-#: Windows walked at once.
-WINDOWS = 100_000
+#: Hits expanded and words of windows verified at once.
+HITS, CELLS = 1_000_000, 1_000_000
 
+_TIMES = np.uint64(0x9E3779B97F4A7C15 | 1)
 _APART = np.zeros(256, bool)
 _APART[:128] = [not chr(i).isalnum() for i in range(128)]
 
@@ -51,61 +52,108 @@ def words_of(texts: list[str]) -> list[np.ndarray]:
     return [words[a:b] for a, b in zip(first[:-1], first[1:])]
 
 
-def walk(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int, steps: int) -> np.ndarray:
-    """The words written by the walks from ``starts``, one row per step; 0 past the end."""
-    out = np.zeros((steps, len(starts)), np.uint64)
-    at, bits = starts.copy(), None
-    for t in range(steps):
-        if t % 64 == 0:
-            bits = mix(words ^ np.uint64((seed * 1_000_003 + t + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
-        inside = at < ends
-        own = np.minimum(at, len(words) - 1)
-        out[t] = np.where(inside, words[own], 0)
-        at = at + (inside & ((bits[own] >> np.uint64(t % 64) & np.uint64(1)) > 0))
-    return out
+def edits_allowed(size: int, allowed: float) -> int:
+    # 0.2 * 15 and the like have to be whole, also where floats fall short of it.
+    return int(allowed * size + 1e-9)
+
+
+def _sums(words: np.ndarray, most: int):
+    """(length, sums of the words from every place on) for lengths up to ``most``."""
+    total = np.zeros(len(words), np.uint64)
+    for length in range(1, min(most, len(words)) + 1):
+        total = total[: len(words) - length + 1] * _TIMES + words[length - 1 :]
+        yield length, total
+
+
+class Pieces:
+    """Items and places in them by the sum of a piece's words, for one length."""
+
+    def __init__(self, sums: np.ndarray, items: np.ndarray, places: np.ndarray):
+        order = np.argsort(sums, kind="stable")
+        self.sums, first = np.unique(sums[order], return_index=True)
+        self.first = np.r_[first, len(order)]
+        self.items, self.places = items[order], places[order]
+        bits = max(16, int(16 * len(self.sums)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.maybe = np.zeros(1 << bits, bool)
+        self.maybe[self.sums >> self.shift] = True
+
+    def find(self, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``sums`` that are known, and their numbers."""
+        at = np.flatnonzero(self.maybe[sums >> self.shift])
+        number = np.minimum(np.searchsorted(self.sums, sums[at]), len(self.sums) - 1)
+        same = self.sums[number] == sums[at]
+        return at[same], number[same]
 
 
 class Index:
-    """Tables of the items of one size class."""
+    """The items with words of one pass."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]], allowed: float):
         self.ids = [i for i, _ in items]
-        self.words = [w for _, w in items]
-        sizes = [len(w) for w in self.words]
-        self.least, self.most = min(sizes), max(sizes)
-        self.edits = int(allowed * self.most)
-        self.steps = min(STEPS, 2 * self.least)
-        flat = np.concatenate(self.words)
-        ends = np.cumsum(sizes)
-        self.tables = []
-        for seed in range(WALKS):
-            written = walk(flat, ends - sizes, ends, seed, self.steps)
-            for number in range(TABLES):
-                keys = self.key(written, seed, number)
-                order = np.argsort(keys, kind="stable")
-                self.tables.append((seed, number, keys[order], order))
-
-    def key(self, written: np.ndarray, seed: int, number: int) -> np.ndarray:
-        random = np.random.default_rng([seed, number, self.steps])
-        picked = np.sort(random.choice(self.steps, min(SAMPLES, self.steps), replace=False))
-        total = np.zeros(written.shape[1], np.uint64)
-        for t in picked:
-            total = mix(total + written[t])
-        return total
-
-    def candidates(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        """Pairs (place in ``starts``, item number) that agree in a table."""
-        found = []
-        for seed in range(WALKS):
-            written = walk(words, starts, ends, seed, self.steps)
-            for own, number, keys, order in self.tables:
-                if own == seed:
-                    mine = self.key(written, seed, number)
-                    lo, hi = np.searchsorted(keys, mine), np.searchsorted(keys, mine, side="right")
-                    hit = np.flatnonzero(hi > lo)
-                    for i in hit.tolist():
-                        found += [(i, int(j)) for j in order[lo[i] : hi[i]]]
-        return sorted(set(found))
+        self.sizes = np.array([len(w) for _, w in items], np.int64)
+        self.edits = np.array([edits_allowed(n, allowed) for n in self.sizes.tolist()], np.int64)
+        self.first = np.r_[0, np.cumsum(self.sizes)]
+        flat = np.concatenate([w for _, w in items])
+        self.vocabulary, self.numbers = np.unique(flat, return_inverse=True)
+        own = np.repeat(np.arange(len(items)), self.sizes)
+        self.members = np.unique(own * (len(self.vocabulary) + 1) + self.numbers)
+        lengths, at, holders = [], [], []
+        for i, (n, k) in enumerate(zip(self.sizes.tolist(), self.edits.tolist())):
+            cuts = np.arange(k + 2) * n // (k + 1)
+            lengths.append(np.minimum(np.diff(cuts), LOOKED_UP))
+            at.append(cuts[:-1])
+            holders.append(np.full(k + 1, i))
+        lengths, at, holders = np.concatenate(lengths), np.concatenate(at), np.concatenate(holders)
+        self.longest = int(lengths.max())
+        self.pieces = {}
+        for length, sums in _sums(flat, self.longest):
+            mine = np.flatnonzero(lengths == length)
+            if len(mine):
+                places = at[mine]
+                self.pieces[length] = Pieces(sums[self.first[holders[mine]] + places], holders[mine], places)
+
+    def hits(self, words: np.ndarray, ends: np.ndarray):
+        """Blocks of (item, place of a piece in ``words``, place in the item)."""
+        for length, sums in _sums(words, self.longest):
+            own = self.pieces.get(length)
+            if own is None:
+                continue
+            at, number = own.find(sums)
+            inside = at + length <= ends[at]
+            at, number = at[inside], number[inside]
+            count = own.first[number + 1] - own.first[number]
+            upto = np.r_[0, np.cumsum(count)]
+            cut = 0
+            while cut < len(at):
+                end = max(cut + 1, int(np.searchsorted(upto, upto[cut] + HITS, side="right")) - 1)
+                many = count[cut:end]
+                each = np.arange(upto[end] - upto[cut]) + np.repeat(own.first[number[cut:end]] - upto[cut:end] + upto[cut], many)
+                yield own.items[each], np.repeat(at[cut:end], many), own.places[each]
+                cut = end
+
+
+def best_stretches(items: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Least edits that turn each item into a stretch of its window; that stretch's first word and end.
+
+    Items and windows are rows of words. Of equal stretches the earliest end
+    counts, then the latest first word.
+    """
+    rows, n = windows.shape
+    place = np.arange(n + 1, dtype=np.int64)
+    # One number holds the edits and, below them, how far the first word is from the window's end.
+    one = n + 1
+    row = np.tile(n - place, (rows, 1))
+    for i in range(items.shape[1]):
+        new = row + one
+        new[:, 0] = (i + 1) * one + n
+        np.minimum(new[:, 1:], row[:, :-1] + one * (windows != items[:, i : i + 1]), out=new[:, 1:])
+        # Insertions run along the row: a running minimum of what each place offers.
+        row = np.minimum.accumulate(new - place * one, axis=1) + place * one
+    edits = row // one
+    end = edits.argmin(axis=1)
+    each = np.arange(rows)
+    return edits[each, end], n - row[each, end] % one, end
 
 
 def edits_within(item: np.ndarray, words: np.ndarray, most: int) -> tuple[int, int]:
@@ -113,78 +161,76 @@ def edits_within(item: np.ndarray, words: np.ndarray, most: int) -> tuple[int, i
 
     Returns (most + 1, -1) if there are more.
     """
-    row = np.zeros(len(words) + 1, np.int64)
-    place = np.arange(len(words) + 1)
-    for i, own in enumerate(item, 1):
-        new = np.empty_like(row)
-        new[0] = i
-        new[1:] = np.minimum(row[:-1] + (words != own), row[1:] + 1)
-        # Insertions run along the row: a running minimum of what each place offers.
-        row = np.minimum.accumulate(new - place) + place
-        if row.min() > most:
-            return most + 1, -1
-    end = int(row.argmin())
-    return (int(row[end]), end) if row[end] <= most else (most + 1, -1)
+    edits, _, end = best_stretches(np.asarray(item)[None, :], np.asarray(words)[None, :])
+    return (int(edits[0]), int(end[0])) if edits[0] <= most else (most + 1, -1)
 
 
-def build(items: list[tuple[int, str]], allowed: float = ALLOWED) -> tuple[list[Index], np.ndarray]:
-    """Indexes by size class (sizes within a factor of 1.5) and the sorted vocabulary."""
+def build(items: list[tuple[int, str]], allowed: float = ALLOWED) -> Index | None:
+    """The index of all items with words; None if there are none."""
     words = [(i, w) for (i, _), w in zip(items, words_of([t for _, t in items])) if len(w)]
-    words.sort(key=lambda x: (len(x[1]), x[0]))
-    indexes, held = [], []
-    for own in words:
-        if held and len(own[1]) > 1.5 * len(held[0][1]):
-            indexes.append(Index(held, allowed))
-            held = []
-        held.append(own)
-    if held:
-        indexes.append(Index(held, allowed))
-    vocabulary = np.unique(np.concatenate([w for _, w in words])) if words else np.zeros(0, np.uint64)
-    return indexes, vocabulary
-
-
-def search(words: np.ndarray, first: np.ndarray, indexes: list[Index], vocabulary: np.ndarray, allowed: float):
+    return Index(words, allowed) if words else None
+
+
+def _windows(index: Index, words: np.ndarray, text: np.ndarray, ends: np.ndarray):
+    """Blocks of distinct (item, text, first place at which the item may begin)."""
+    texts, most = int(text[-1]) + 1, len(words) + int(index.sizes.max()) + 1
+    for item, at, place in index.hits(words, ends):
+        # The item may begin anywhere in a bucket of as many places as edits are allowed, and one.
+        wide = index.edits[item] + 1
+        bucket = (at - place) // wide
+        key = np.unique((item * texts + text[at]) * (2 * most) + bucket + most)
+        item, bucket = key // (2 * most) // texts, key % (2 * most) - most
+        yield item, key // (2 * most) % texts, bucket * (index.edits[item] + 1)
+
+
+def search(words: np.ndarray, first: np.ndarray, index: Index | None):
     """(text, item id, edits, item words, first word) of the best match of each text and item."""
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    if not len(words) or not indexes:
+    if not len(words) or index is None:
         return []
-    at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
-    known = np.r_[0, np.cumsum(vocabulary[at] == words)]
+    best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    ends = first[1:][text]
-    for index in indexes:
-        # Of the first words of a match at most the allowed edits are no item words.
-        here = np.arange(len(words))
-        enough = known[np.minimum(here + index.least, ends)] - known[here] >= index.least - index.edits
-        starts = np.flatnonzero(enough)
-        for cut in range(0, len(starts), WINDOWS):
-            own = starts[cut : cut + WINDOWS]
-            for i, j in index.candidates(words, own, ends[own]):
-                start = int(own[i])
-                item = index.words[j]
-                most = int(allowed * len(item))
-                key = (int(text[start]), index.ids[j])
-                if key in best and best[key][0] == 0:
-                    continue
-                low = max(int(first[key[0]]), start - most)
-                high = min(int(ends[start]), start + len(item) + most)
-                edits, end = edits_within(item, words[low:high], most)
-                value = (edits, len(item), start - int(first[key[0]]))
-                if end >= 0 and (key not in best or value < best[key]):
-                    best[key] = value
-    return [(*key, *value) for key, value in sorted(best.items())]
-
-
-def _match(indexes, allowed: float):
+    numbers = None
+    for items, texts, begins in _windows(index, words, text, first[1:][text]):
+        if numbers is None:
+            at = np.minimum(np.searchsorted(index.vocabulary, words), len(index.vocabulary) - 1)
+            numbers = np.where(index.vocabulary[at] == words, at, len(index.vocabulary))
+        sizes = index.sizes[items]
+        for size in np.unique(sizes).tolist():
+            own = np.flatnonzero(sizes == size)
+            most = int(index.edits[items[own[0]]])
+            length = size + 3 * most
+            for cut in range(0, len(own), max(1, CELLS // length)):
+                some = own[cut : cut + max(1, CELLS // length)]
+                item, low = items[some], begins[some] - most
+                where = low[:, None] + np.arange(length)
+                inside = (where >= first[texts[some], None]) & (where < first[texts[some] + 1, None])
+                seen = np.where(inside, numbers[np.clip(where, 0, len(words) - 1)], len(index.vocabulary))
+                codes = item[:, None] * (len(index.vocabulary) + 1) + seen
+                known = np.minimum(np.searchsorted(index.members, codes), len(index.members) - 1)
+                enough = np.flatnonzero((index.members[known] == codes).sum(axis=1) >= size - most)
+                item = item[enough]
+                wanted = index.numbers[index.first[item][:, None] + np.arange(size)]
+                edits, start, end = best_stretches(wanted, seen[enough])
+                for i in np.flatnonzero(edits <= most).tolist():
+                    here = int(texts[some[enough[i]]])
+                    move = int(low[enough[i]])
+                    key = (here, index.ids[item[i]])
+                    value = (int(edits[i]), size, move + int(end[i]), -(move + int(start[i])))
+                    if key not in best or value < best[key]:
+                        best[key] = value
+    return [(*key, edits, size, -start - int(first[key[0]])) for key, (edits, size, _, start) in sorted(best.items())]
+
+
+def _match(index):
     def run(batches):
-        own, vocabulary = indexes.value
+        own = index.value
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             at, raw = byte_view(batch.column("text"))
             rows = []
             for first, end in steps(at):
                 words, _, _, begin = word_hashes(raw, at[first : end + 1], _APART)
-                rows += [(ids[first + d], *rest) for d, *rest in search(words, begin, own, vocabulary, allowed)]
+                rows += [(ids[first + d], *rest) for d, *rest in search(words, begin, own)]
             columns = zip(*rows) if rows else ((),) * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "edits", "item_words", "first_word"]
@@ -210,7 +256,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, allowed: float = ALLOWED)
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == number).collect()
         built = spark.sparkContext.broadcast(build([(r["item_id"], r["text"]) for r in part], allowed))
         found = mine.mapInArrow(
-            _match(built, allowed), "doc_id bigint, item_id bigint, edits bigint, item_words bigint, first_word bigint"
+            _match(built), "doc_id bigint, item_id bigint, edits bigint, item_words bigint, first_word bigint"
         )
         result = found if result is None else result.unionAll(found)
     return result
