@@ -264,6 +264,24 @@ def test_leaks_of_long_items_edited_at_the_front(spark):
     assert found == {(i, i) for i, _ in items}
 
 
+def test_leaks_at_exactly_the_allowed_distance_and_short_items(spark):
+    """Every item with a fifth of its words replaced, dropped or added, and exact ones of a few words."""
+    draw = random.Random(9)
+    words = [f"term{i}" for i in range(20_000)]
+    items = [" ".join(draw.choice(words) for _ in range(n)) for n in (5, 10, 20, 50, 100, 200) for _ in range(20)]
+    items += [" ".join(f"short{n}x{i}x{j}" for j in range(n)) for n in (1, 2, 3, 4) for i in range(40)]
+    texts = []
+    for item in items:
+        own = item.split()
+        for at in sorted(draw.sample(range(len(own)), len(own) // 5), reverse=True):
+            own[at : at + 1] = draw.choice([[], ["changed"], [own[at], "added"]])
+        texts.append(" ".join([*draw.choices(words, k=20), *own, *draw.choices(words, k=20)]))
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    rows = decontam.find_leaks(docs_of(spark, texts), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == {(i, i) for i in range(len(items))}
+    assert all(r["edits"] <= r["item_words"] // 5 for r in rows)
+
+
 def test_edits_equal_the_full_table():
     draw = np.random.default_rng(6)
     for _ in range(200):
