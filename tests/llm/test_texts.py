@@ -348,6 +348,24 @@ def test_hosts_vote(spark):
     assert got[9] == "Short"
 
 
+def test_nested_containers_keep_the_whole_article(spark):
+    long, short = "Many words of a long body follow here. " * 9, "A shorter part of the same story."
+    side = '<nav><a href=x>Menu</a></nav><div class="sidebar">Side</div>'
+    bodies = [
+        f"<article><h1>T</h1><p>Lead</p><div class='body'><p>{long}</p></div></article>",
+        f"<article><section class='one'><p>{short}</p></section><section class='two'><p>{long}</p></section></article>",
+        f"<main><h1>T</h1><article><div><div class='body'><p>{long}</p></div></div><p>End</p></article></main>",
+        f"<div class='page'><h1>T</h1><div class='wrap'><div class='body'><p>{long}</p></div></div></div><div class='more'>x</div>",
+        f"<div class='page'><section class='one'>{short}</section><section class='two'>{long}</section></div>",
+        f"<h1>T</h1><div class='body'><p>{long}</p></div>",
+    ]
+    body, part = long.strip(), short
+    want = [f"T\nLead\n{body}", f"{part}\n{body}", f"T\n{body}\nEnd", f"T\n{body}", f"{part}\n{body}", f"T\n{body}"]
+    rows = [(i, f"https://host{i}/", f"<html><body>{side}{b}<footer>Foot</footer></body></html>") for i, b in enumerate(bodies)]
+    got = {r["page_id"]: r["text"] for r in html.extract_pages(pages_of(spark, rows)).collect()}
+    assert [got[i] for i in range(len(bodies))] == want
+
+
 # Contract -----------------------------------------------------------------
 
 

@@ -1,8 +1,11 @@
 """Main text of web pages by consensus paths of their host.
 
 Every page scores its containers: a block of text counts for its container and
-by half for the one around it, link text does not count. A page votes for the
-generalised tag and class path of its best container. Spark sums the votes per
+by half for the one around it, link text does not count. From the best container
+a page climbs to the article or main around it; without these, to the outermost
+container below body that adds text, and to body if text stands in it directly.
+So headlines, leads and further sections are kept. The page votes for the
+generalised tag and class path of the container reached. Spark sums the votes per
 host (combined inside map tasks, so a host with a third of all pages is no hot
 key); the best path of a host wins. Pages are then extracted again from all
 containers at their host's path; a page without one uses its own best.
@@ -63,6 +66,7 @@ class Page:
     def __init__(self, html: str):
         self.blocks: list[tuple[str, int, int]] = []  # text, container, letters outside links
         self.paths: list[str] = [""]
+        self.names: list[str] = [""]
         self.parents: list[int] = [0]
         self._stack: list[tuple[str, bool, int]] = [("", False, 0)]
         self._parts: list[str] = []
@@ -163,6 +167,7 @@ class Page:
             self._stack.append((name, True, container))
         elif name in _CONTAINERS:
             self.paths.append(f"{self.paths[container]}>{step}")
+            self.names.append(name)
             self.parents.append(container)
             self._stack.append((name, False, len(self.paths) - 1))
 
@@ -193,11 +198,30 @@ class Page:
             own[self.parents[container]] += letters / 2 if container else 0
         return own
 
+    def _around(self, at: int) -> int:
+        """The container that holds the whole article of which ``at`` is a part."""
+        chain = [at]
+        while chain[-1]:
+            chain.append(self.parents[chain[-1]])
+        marked = [i for i in chain if self.names[i] in ("article", "main")]
+        if marked:
+            return marked[-1]
+        direct = [0] * len(self.paths)
+        for text, container, letters in self.blocks:
+            direct[container] += letters if any(map(str.isalnum, text)) else 0
+        inside = direct[:]
+        for i in range(len(inside) - 1, 0, -1):
+            inside[self.parents[i]] += inside[i]
+        for i in chain:
+            adds = direct[i] > 0 if self.names[i] in ("", "html", "body") else inside[i] > inside[at]
+            at = i if adds else at
+        return at
+
     def best(self) -> tuple[str, float]:
-        """Path and score of the best container; ties go to the earlier one."""
+        """Path of the article around the best container, and that one's score; ties go to the earlier one."""
         own = self.scores()
         at = max(range(len(own)), key=lambda i: (own[i], -i))
-        return self.paths[at], own[at]
+        return self.paths[self._around(at)], own[at]
 
     def extract(self, path: str) -> str:
         """Text of all containers at a path, of the best one if there is none with text."""
