@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tripmart.llm.shared import small_side, stored
 
 #: Change with any change of the rules below.
-RULES = "2024-06-1"
+RULES = "2024-06-2"
 
 # Kinds in the order in which equal starts are listed; the first three are the base kinds.
 KINDS = ("assign", "access", "hex", "pem", "jwt")
@@ -35,7 +35,17 @@ _ASSIGN = re.compile(
 _WORDS = ("passw", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_PEM = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
+# A key lasts to the next end line. Without one before the next key it lasts over its header fields and
+# all that is base64: long runs, what stands alone on a line, and a last run of whole groups of four.
+_PEM = re.compile(
+    r"""-----BEGIN\x20[A-Z ]{0,40}PRIVATE\x20KEY-----
+    (?: (?:(?!-----BEGIN\x20).)*? -----END\x20[A-Z ]{0,40}PRIVATE\x20KEY-----
+    | (?:GAP (?:Proc-Type|DEK-Info|Version|Comment):[^\r\n\\]*)*
+      (?:GAP (?:[A-Za-z0-9+/]{16,}={0,2} | [A-Za-z0-9+/]+={0,2}(?=[\x20\t"',]*(?:\\[nr]|[\r\n\\]|\Z))))*
+      (?:(?<=[A-Za-z0-9+/]{16})GAP (?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{4}|[A-Za-z0-9+/]{3}=|[A-Za-z0-9+/]{2}==)(?![A-Za-z0-9+/=]))?
+    )""".replace("GAP", r"""(?:\s|\\[nrt]|\\(?=\s)|["'>\#|,])*"""),
+    re.VERBOSE | re.DOTALL,
+)
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")
 
 _FOUND = "blob binary, kinds array<int>, starts array<int>, ends array<int>"
