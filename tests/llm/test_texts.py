@@ -120,6 +120,19 @@ def test_toxicity_awkward_rows(spark):
     assert toxicity.score_texts(docs_of(spark, []), labels).collect() == []
 
 
+def test_lexicon_keeps_every_term(spark):
+    """More than 4000 terms; rare ones count like others, and beginnings say the same without repeats."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rare = [a + b + c for a in letters for b in letters for c in letters][:5000]
+    texts = [" ".join(rare[i % 10 :: 10]) + " poisonous" for i in range(250)] + ["something of a clean text"] * 250
+    rows = [(i, text, int(i < 250)) for i, text in enumerate(texts)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "doc_id bigint, text string, toxic int"))
+    assert {*rare, "poisonous", "pois*"} == set(lexicon)
+    matcher = toxicity.Matcher(lexicon)
+    assert matcher.classify(rare[-1]) == (lexicon[rare[-1]], 0)
+    assert matcher.classify("poisonings") == (lexicon["poisonous"], 1)
+
+
 # Secrets ------------------------------------------------------------------
 
 

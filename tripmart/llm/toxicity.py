@@ -2,7 +2,8 @@
 
 1. Spark counts, over all labelled training texts, in how many toxic and clean
    texts each word and each word beginning occurs. Those that lean clearly
-   towards toxic texts form the lexicon (bounded by LEXICON).
+   towards toxic texts form the lexicon, however many they are. A beginning with
+   the counts of the one a letter shorter says nothing else and is left out.
 2. The lexicon is a trie. A word matches a term exactly, by a beginning that is
    a term, or misspelled: the trie is walked together with the term's
    Levenshtein automaton, here the word's row of distances, cut off where no
@@ -29,8 +30,6 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.shared import small_side, stored
 
-#: Most terms kept, those with the clearest lean first.
-LEXICON = 4000
 #: Least log-likelihood ratio statistic of a term (about five standard errors, since
 #: hundreds of thousands of terms are tried), and least toxic texts with it.
 LEAST_G, LEAST_TEXTS = 25.0, 4
@@ -117,13 +116,23 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
         - times_log(good)
         + times_log(texts)
     )
-    rows = (
-        counted.select("term", odds.alias("odds"), F.round(ratio, 6).alias("g"))
-        .where((F.col("g") >= LEAST_G) & (F.col("odds") >= 1))
-        .orderBy(F.desc("g"), "term")
-        .limit(LEXICON)
-        .collect()
+    kept = stored(
+        counted.select("term", "toxic", "clean", odds.alias("odds"), F.round(ratio, 6).alias("g")).where(
+            (F.col("g") >= LEAST_G) & (F.col("odds") >= 1)
+        ),
+        "toxicity-lexicon",
     )
+    # The longest beginning counts: without one that has the counts, and so the weight, of the
+    # beginning a letter shorter, that one gives every word the same weight.
+    stems = kept.where("term like '%*'")
+    longer = F.concat(F.expr("substring(term, 1, length(term) - 2)"), F.lit("*"))
+    same = stems.select(F.col("term").alias("shorter"), F.col("toxic").alias("toxic_"), F.col("clean").alias("clean_"))
+    own = kept.withColumn("shorter_", F.when(F.col("term").endswith("*"), longer))
+    rows = own.join(
+        same,
+        (own.shorter_ == same.shorter) & (own.toxic == same.toxic_) & (own.clean == same.clean_),
+        "left_anti",
+    ).select("term", "odds").orderBy("term").collect()
     return {r["term"]: r["odds"] for r in rows}
 
 
