@@ -257,6 +257,19 @@ def test_licences(spark):
     assert licenses.find_licenses(docs_of(spark, [])).collect() == []
 
 
+def test_licences_inside_longer_lines(spark):
+    texts = [
+        "Copyright 2020 Foo. Licensed under CC BY 4.0.", "This fine program is Released under the MIT License",
+        "One long line of words before it, released under the\nMIT License, and many more words " + "behind it " * 200,
+        "Some words. This work is licensed under GNU General Public License, version 3. More words follow here and there.",
+        "Nothing is licensed here under the general terms of the public version.",
+    ]
+    rows = licenses.find_licenses(docs_of(spark, texts)).collect()
+    got = {(r["doc_id"], r["license"]): r["dice"] for r in rows}
+    assert got[(0, "CC-BY-4.0")] == got[(1, "MIT")] == got[(2, "MIT")] == 1.0 and got[(3, "GPL-3.0")] >= 0.8
+    assert {i for i, _ in got} == {0, 1, 2, 3}
+
+
 # Leaks --------------------------------------------------------------------
 
 

@@ -1,7 +1,11 @@
 """Licence notices by the Dice coefficient over word bigrams, in DataFrame functions only.
 
 A text's units are its lines, its paragraphs of several lines and the whole
-text. Units are lower-cased and reduced to words of a-z and 0-9; their distinct
+text. For licences that none of them shows, its sentences and the windows of a
+template's number of words count as well, so a notice is also found inside a
+longer line. Only windows that begin with a template's bigram and hold as many of
+its bigrams as a match needs are formed; any other window with a match can be
+moved to one of these. Units are lower-cased and reduced to words of a-z and 0-9; their distinct
 word bigrams are compared with those of licence templates. Two sets of sizes a
 and b can reach a coefficient of t only if b * t / (2 - t) <= a <= b * (2 - t) / t,
 so units outside the bounds of all templates are dropped before bigrams are
@@ -72,15 +76,19 @@ def _words(column):
     return F.filter(F.split(column, " "), lambda w: w != "")
 
 
-def _bigrams(words):
-    """Distinct bigrams of an array of words."""
+def _pairs(words):
+    """Bigrams of an array of words in their order."""
     # Filters may be moved below this, so it has to hold for no word as well.
-    pairs = F.zip_with(
+    return F.zip_with(
         F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))),
         F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))),
         lambda a, b: F.concat(a, F.lit(" "), b),
     )
-    return F.array_distinct(pairs)
+
+
+def _bigrams(words):
+    """Distinct bigrams of an array of words."""
+    return F.array_distinct(_pairs(words))
 
 
 def template_bigrams(spark, templates=TEMPLATES) -> DataFrame:
@@ -97,9 +105,11 @@ def find_licenses(docs: DataFrame, templates=TEMPLATES, least: float = LEAST) ->
     spark = docs.sparkSession
     known = template_bigrams(spark, templates)  # as many rows as the templates have bigrams
     sizes = [r["size"] for r in known.select("size").distinct().collect()]
-    low, high = least / (2 - least), (2 - least) / least
+    low = least / (2 - least)
     clean = F.regexp_replace(F.lower(F.col("text").cast("string")), "[^a-z0-9\n]+", " ")
-    units = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), clean.alias("clean")).select(
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    cleaned = rows.select("doc_id", clean.alias("clean"))
+    units = cleaned.select(
         "doc_id",
         F.explode(
             F.array_distinct(
@@ -111,6 +121,64 @@ def find_licenses(docs: DataFrame, templates=TEMPLATES, least: float = LEAST) ->
             )
         ).alias("unit"),
     )
+    inner = _inner_units(rows, known, templates, low)
+    both = _dice(units, known, sizes, least).withColumn("whole", F.lit(True)).unionAll(
+        _dice(inner, known, sizes, least).withColumn("whole", F.lit(False))
+    )
+    found = both.groupBy("doc_id", "license").agg(
+        F.max(F.when(F.col("whole"), F.col("dice"))).alias("dice_"),
+        F.max("dice").alias("dice"),
+        F.count(F.when(F.col("whole"), 1)).alias("n_"),
+        F.count("*").alias("n_units"),
+    )
+    return found.select(
+        "doc_id",
+        "license",
+        F.coalesce("dice_", "dice").alias("dice"),
+        F.when(F.col("n_") > 0, F.col("n_")).otherwise(F.col("n_units")).alias("n_units"),
+    )
+
+
+def _inner_units(rows: DataFrame, known: DataFrame, templates, low: float) -> DataFrame:
+    """doc_id and unit: sentences and windows of the texts (doc_id, text) that may hold a notice."""
+    spark = rows.sparkSession
+    lengths = spark.createDataFrame(list(templates), "license string, notice string").select(
+        "license", F.size(_words(F.regexp_replace(F.lower("notice"), "[^a-z0-9]+", " "))).alias("n_words")
+    )
+    # Bigrams a match has in common with its template at least.
+    needs = known.join(F.broadcast(lengths), "license").withColumn("needed", F.ceil(F.col("size") * low - 1e-9).cast("int"))
+    texts = rows.where("text is not null").withColumn("text_", F.xxhash64("text"))
+    words = _words(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "))
+    pairs = texts.select("doc_id", "text_", words.alias("words")).select(
+        "doc_id", "text_", F.posexplode(_pairs(F.col("words"))).alias("place", "bigram")
+    )
+    hits = (
+        pairs.join(F.broadcast(needs), "bigram")
+        .groupBy("doc_id", "text_", "license", "needed", "n_words")
+        .agg(F.sort_array(F.collect_set("place")).alias("places"))
+    )
+    starts = F.filter(
+        "places", lambda p, i: F.get(F.col("places"), i + F.col("needed") - 1) <= p + F.col("n_words") - 2
+    )
+    windows = hits.select("doc_id", "text_", "n_words", F.explode(starts).alias("start")).distinct()
+    windows = windows.groupBy("doc_id", "text_").agg(F.collect_list(F.struct("start", "n_words")).alias("windows"))
+    near = windows.withColumnRenamed("doc_id", "doc_id_").withColumnRenamed("text_", "hash_")
+    holding = texts.join(near, texts.doc_id.eqNullSafe(near.doc_id_) & (texts.text_ == near.hash_))
+    inside = holding.select(
+        "doc_id",
+        F.concat(
+            F.transform("windows", lambda w: F.concat_ws(" ", F.slice(words, w["start"] + 1, w["n_words"]))),
+            F.transform(
+                F.split("text", r"(?<=[.!?;])\s+"), lambda s: F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")
+            ),
+        ).alias("inside"),
+    )
+    return inside.select("doc_id", F.explode(F.array_distinct("inside")).alias("unit"))
+
+
+def _dice(units: DataFrame, known: DataFrame, sizes: list[int], least: float) -> DataFrame:
+    """doc_id, license, unit and dice of the units (doc_id, unit) that match."""
+    low, high = least / (2 - least), (2 - least) / least
     # A word has a letter and a blank at least: shorter and longer texts than any
     # template allows go before their words are formed. Words have no upper length.
     units = units.where(F.length("unit") >= 2 * min(sizes, default=0) * low)
@@ -125,8 +193,4 @@ def find_licenses(docs: DataFrame, templates=TEMPLATES, least: float = LEAST) ->
     )
     both = matched.groupBy("doc_id", "unit", "n", "license", "size").agg(F.countDistinct("bigram").alias("both"))
     dice = both.select("doc_id", "license", "unit", (2 * F.col("both") / (F.col("n") + F.col("size"))).alias("dice"))
-    return (
-        dice.where(F.col("dice") >= least)
-        .groupBy("doc_id", "license")
-        .agg(F.max("dice").alias("dice"), F.count("*").alias("n_units"))
-    )
+    return dice.where(F.col("dice") >= least)
