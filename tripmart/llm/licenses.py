@@ -4,8 +4,7 @@ A text's units are its lines, its paragraphs of several lines and the whole
 text. For licences that none of them shows, its sentences and the windows of a
 template's number of words count as well, so a notice is also found inside a
 longer line. Only windows that begin with a template's bigram and hold as many of
-its bigrams as a match needs are formed; any other window with a match can be
-moved to one of these. Units are lower-cased and reduced to words of a-z and 0-9; their distinct
+its bigrams as a match needs are formed. Units are lower-cased and reduced to words of a-z and 0-9; their distinct
 word bigrams are compared with those of licence templates. Two sets of sizes a
 and b can reach a coefficient of t only if b * t / (2 - t) <= a <= b * (2 - t) / t,
 so units outside the bounds of all templates are dropped before bigrams are
