@@ -37,4 +37,59 @@ WITH template AS (
 SELECT doc_id, license, max(dice) AS dice, count(*) AS n_units FROM dice WHERE dice >= {LEAST} GROUP BY doc_id, license
 """
 
-ORACLE: dict[str, str] = {"op8_license_scan": _LICENSES}
+def _given(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+# The last bit of a CRC-32 before its final inversion: 1 where the checksum is even.
+_CRC_BIT = """list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, i: xor(x >> 1, (x & 1) * 3988292384))) & 1"""
+
+_MERKLE = f"""
+WITH RECURSIVE given AS (
+    SELECT doc_id, source, text, {" || ".join(map(_given, ("doc_id", "source", "lang", "n_chars")))} AS head FROM documents
+), leaf AS (
+    SELECT doc_id, source, sha256(head || {_given("text")}) AS leaf,
+        CASE WHEN {_CRC_BIT} = 1 THEN sha256(head || {_given("replace(text, chr(10), '')")}) ELSE sha256(head || {_given("text")}) END AS changed
+    FROM given
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY source) AS n FROM leaf
+), tree AS (
+    SELECT source, 0 AS level, place, leaf AS digest, n FROM placed
+    UNION ALL
+    SELECT source, level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 2) // 3
+    FROM tree WHERE n > 1 GROUP BY source, level, place // 3
+), subroot AS (
+    SELECT source, digest, level, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM tree WHERE n = 1
+), top AS (
+    SELECT 0 AS level, place, digest, n FROM subroot
+    UNION ALL
+    SELECT level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 2) // 3
+    FROM top WHERE n > 1 GROUP BY level, place // 3
+), beside AS (
+    SELECT a.source, a.level, a.place, coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS l,
+        coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS r
+    FROM tree a JOIN tree b ON a.source IS NOT DISTINCT FROM b.source AND a.level = b.level AND a.place // 3 = b.place // 3
+    WHERE a.n > 1 GROUP BY a.source, a.level, a.place
+), above AS (
+    SELECT a.level, a.place, coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS l,
+        coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS r
+    FROM top a JOIN top b ON a.level = b.level AND a.place // 3 = b.place // 3 WHERE a.n > 1 GROUP BY a.level, a.place
+), up AS (
+    SELECT doc_id, leaf, source, 0 AS level, place, n, '' AS proof, changed AS folded FROM placed
+    UNION ALL
+    SELECT doc_id, leaf, u.source, u.level + 1, u.place // 3, (n + 2) // 3, proof || l || r, sha256(l || folded || r)
+    FROM up u JOIN beside b ON u.source IS NOT DISTINCT FROM b.source AND u.level = b.level AND u.place = b.place WHERE n > 1
+), on_top AS (
+    SELECT doc_id, leaf, s.digest AS subroot, 0 AS level, s.place, s.n, proof, folded
+    FROM up u JOIN subroot s ON u.source IS NOT DISTINCT FROM s.source WHERE u.n = 1
+    UNION ALL
+    SELECT doc_id, leaf, subroot, u.level + 1, u.place // 3, (n + 2) // 3, proof || l || r, sha256(l || folded || r)
+    FROM on_top u JOIN above b ON u.level = b.level AND u.place = b.place WHERE n > 1
+)
+SELECT doc_id, leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = t.digest AS verified
+FROM on_top o, (SELECT digest FROM top WHERE n = 1) t WHERE o.n = 1
+"""
+
+ORACLE: dict[str, str] = {"op8_license_scan": _LICENSES, "op11_merkle_manifest": _MERKLE}
