@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import ann, decontam, html, langid, licenses, merkle, pieces, secrets, suffixes, tokens, toxicity
+from tripmart.llm import ann, decontam, html, langid, licenses, merkle, pieces, secrets, suffixes, tokens, toxicity, whitening
 from tripmart.llm.jaccard import jaccard_groups
 from tripmart.llm.shared import table
 
@@ -59,6 +59,10 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -72,4 +76,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_extraction": op10_html_extraction,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_token_counts": op12_token_counts,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
