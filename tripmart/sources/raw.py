@@ -6,7 +6,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.periods import landing_folder, next_month, period_start, source_file
@@ -15,16 +15,28 @@ from tripmart.operators.clean import Span
 from tripmart.schema import DATASETS, check_dataset
 from tripmart.session import in_parallel
 from tripmart.sources.files import Folder
+from tripmart.sources.manifest import (
+    content_digest,
+    last_landings,
+    record_landing,
+    source_changed,
+    source_state,
+    write_down,
+)
 
 
 @dataclass(frozen=True)
 class Landing:
-    """Outcome of one (dataset, period): ``ingested``, ``skipped`` or an error."""
+    """Outcome of one (dataset, period): ``ingested``, ``skipped`` or an error.
+
+    ``changed`` tells that the source of a skipped month holds other rows now.
+    """
 
     dataset: str
     period: str
     detail: str
     ok: bool = True
+    changed: bool = False
 
 
 def landed_periods(spark: SparkSession, raw_root: str) -> DataFrame:
@@ -51,6 +63,9 @@ def land(
     source_root: str,
     raw_root: str,
     parallel: int = 3,
+    manifest: str | None = None,
+    ledger: str | None = None,
+    refresh: bool = False,
 ) -> list[Landing]:
     """Land each planned (dataset, period) unchanged, once.
 
@@ -58,6 +73,10 @@ def land(
     rows of a month never leave the executors. A month is written aside and
     moved into place when complete, so its folder is there either whole or not
     at all. Only the plan, one line per dataset and month, is read on the driver.
+
+    With a ``manifest`` the new files are written down there, with a ``ledger``
+    the source is, so that a changed one is noticed the next time. Such a month
+    is landed again with ``refresh``, else it is reported as changed.
     """
     lake = Folder(spark, raw_root)
     aside = f"_staging/{uuid.uuid4().hex}"
@@ -71,13 +90,31 @@ def land(
         landing_folder(name, day).alias("folder"),
     )
 
+    before = {}
+    if ledger is not None:
+        known = last_landings(spark, ledger).join(plan, ["dataset", "period"], "left_semi")
+        before = {(r["dataset"], r["period"]): r for r in known.collect()}
+
     def one(row) -> Landing:
-        if row["landed"]:
-            return Landing(row["dataset"], row["period"], "skipped")
         staged = f"{lake.path}/{aside}/{row['folder']}"
         try:
-            spark.read.parquet(row["source"]).write.parquet(staged)
+            if row["landed"]:
+                last = before.get((row["dataset"], row["period"]))
+                changed = last is not None and source_changed(spark, last, row["source"])
+                if not (changed and refresh):
+                    return Landing(row["dataset"], row["period"], "skipped", changed=changed)
+            # Looked at before the rows are read: a source that changes meanwhile is read again.
+            state = source_state(spark, row["source"]) if ledger is not None else None
+            frame, seen = spark.read.parquet(row["source"]), Observation("landing")
+            frame.observe(seen, F.count(F.lit(1)).alias("n"), content_digest(frame).alias("digest")).write.parquet(staged)
             lake.move_here(staged, row["folder"], f"{lake.path}/{aside}/old/{row['folder']}")
+            if manifest is not None:
+                write_down(spark, raw_root, manifest, row["dataset"], row["folder"], frame.schema)
+            if ledger is not None:
+                counted = seen.get
+                record_landing(
+                    spark, ledger, row["dataset"], row["period"], row["source"], state, counted["n"], counted["digest"]
+                )
         except Exception as error:  # recorded per month; the others go on
             reason = f"{type(error).__name__}: {error}"
             return Landing(row["dataset"], row["period"], reason, ok=False)
