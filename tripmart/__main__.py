@@ -1,6 +1,6 @@
 """Command line: one run, the whole backlog, or given months again.
 
-    python -m tripmart --source S --root R --zones Z [--as-of 2024-05-01]
+    python -m tripmart --source S --root R --zones Z [--as-of 2024-05-01] [--versioned]
         [--backlog | --dataset yellow --period 2024-02 | --dataset yellow --year 2024 --month 2]
 """
 
@@ -20,6 +20,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
         parser.add_argument(f"--{name}", required=True)
     parser.add_argument("--as-of", type=date.fromisoformat, default=date.today())
     parser.add_argument("--backlog", action="store_true")
+    parser.add_argument("--versioned", action="store_true")
     parser.add_argument("--dataset", choices=DATASETS)
     parser.add_argument("--period")
     parser.add_argument("--year", type=int)
@@ -35,7 +36,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
 def main(given: list[str] | None = None) -> list[tuple[str, str]]:
     options = arguments(given)
     datasets = [options.dataset] if options.dataset else list(DATASETS)
-    lake = Lake(source=options.source, root=options.root, zones_csv=options.zones)
+    lake = Lake(source=options.source, root=options.root, zones_csv=options.zones, versioned=options.versioned)
     return run(
         cluster_session(),
         lake,

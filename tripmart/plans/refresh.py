@@ -13,6 +13,7 @@ from tripmart.schema import PARTITIONS, SILVER, UNIFIED
 from tripmart.session import in_parallel
 from tripmart.sources.files import Folder
 from tripmart.sources.lake import materialise, overwrite_partitions
+from tripmart.sources.versions import VersionedTable
 from tripmart.sources.zones import Zones
 
 _MONTHS = "/".join(f"{key}=*" for key in PARTITIONS)
@@ -58,6 +59,42 @@ def refresh_parts(spark: SparkSession, silver: str, root: str) -> dict[str, Data
     return {name: spark.read.parquet(f"{root}/{name}") for name in PARTS}
 
 
+def refresh_versioned_parts(
+    spark: SparkSession, silver: VersionedTable, root: str
+) -> dict[str, DataFrame]:
+    """Parts of the current silver version of every month.
+
+    A part is kept with the silver version it was computed from, so a month
+    that was written again, by whomever, is noticed and computed anew.
+    """
+    wanted = {part: version for part, (version, _) in silver.current().items()}
+
+    def fill(name: str) -> DataFrame:
+        table = VersionedTable(spark, f"{root}/{name}", PARTITIONS)
+        since, own = table.head(), table.current()
+        if gone := set(own) - set(wanted):
+            since = table.commit(None, gone, since)
+        stale = sorted(part for part, version in wanted.items() if own.get(part, (None, None))[1] != version)
+        if stale:
+            trips = (
+                spark.read.schema(SILVER)
+                .option("basePath", silver.root)
+                .parquet(*[silver.folder(wanted[part], part) for part in stale])
+                .select(*UNIFIED)
+            )
+            version = table.stage(PARTS[name](trips).hint("rebalance", *PARTITIONS))
+            made = set(table.parts_of(version))
+            # A month may have no trip that counts; what it had before goes.
+            if empty := set(stale) & set(own) - made:
+                since = table.commit(None, empty, since)
+            if made:
+                table.commit(version, made, since, sources=wanted)
+        return table.read() if table.exists() and table.current() else PARTS[name](silver.read(SILVER).select(*UNIFIED))
+
+    names = list(PARTS)
+    return dict(zip(names, in_parallel(spark, fill, names, len(names))))
+
+
 def build_marts(
     spark: SparkSession,
     trips: DataFrame,
@@ -65,14 +102,18 @@ def build_marts(
     root: str,
     names: Iterable[str],
     parts: dict[str, DataFrame] | None = None,
+    versioned: bool = False,
 ) -> None:
-    """Replace the named datamarts, four at a time."""
+    """Replace the named datamarts, four at a time; versioned ones by a commit record."""
 
     def build(name: str) -> None:
         if parts is not None and name in MARTS_FROM_PARTS:
             mart = MARTS_FROM_PARTS[name](parts, zones)
         else:
             mart = MARTS[name](trips, zones)
-        materialise(mart, f"{root}/{name}")
+        if versioned:
+            VersionedTable(spark, f"{root}/{name}").publish(mart)
+        else:
+            materialise(mart, f"{root}/{name}")
 
     in_parallel(spark, build, list(names), 4)

@@ -21,14 +21,34 @@ from tripmart.operators.planning import (
     registry_state,
 )
 from tripmart.operators.quality import SILVER_RULES, Rule
-from tripmart.plans.refresh import build_marts, forget_parts, refresh_parts
+from tripmart.plans.refresh import (
+    build_marts,
+    forget_parts,
+    refresh_parts,
+    refresh_versioned_parts,
+)
 from tripmart.plans.silver import build_silver_months
-from tripmart.schema import DATASETS, check_dataset
+from tripmart.schema import DATASETS, PARTITIONS, SILVER, check_dataset
 from tripmart.session import FILE_SIZING, in_parallel, prepare
+from tripmart.sources.catalog import (
+    point_table,
+    register_silver,
+    register_table,
+    replace_unified_view,
+)
 from tripmart.sources.files import Folder
-from tripmart.sources.lake import append_rows, publish_view, unified_trips
-from tripmart.sources.raw import land, scan_raw
+from tripmart.sources.lake import (
+    append_rows,
+    publish_view,
+    silver_table,
+    unified_trips,
+    write_gated_months,
+    write_gated_versions,
+)
+from tripmart.sources.manifest import scan_landed
+from tripmart.sources.raw import land
 from tripmart.sources.registry import read_events, record
+from tripmart.sources.versions import VersionedTable
 from tripmart.sources.zones import checked, read_zones
 
 
@@ -51,11 +71,13 @@ class Lake:
     files: dict[str, int] = field(default_factory=dict)
     # A backlog of consecutive months is one Spark job up to this many months.
     months_per_job: int = 12
-    # True reads only raw folders next to the months being built. Saves opening
-    # old files, but misses trips delivered in a file further away.
-    near_folders_only: bool = False
     # False rebuilds every datamart from the trips of all history.
     incremental: bool = True
+    # True writes silver and datamarts as versions that a commit record switches;
+    # False replaces their folders. A lake keeps the layout it began with.
+    versioned: bool = False
+    # Database of the external tables and the permanent view; None leaves them out.
+    catalog: str | None = "tripmart"
 
     def table(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -114,14 +136,10 @@ def _clean_dataset(
     for span, names in _spans(periods, lake.months_per_job):
         days = {name: parse_period(name) for name in names}
         try:
-            forget_parts(spark, lake.table("parts"), dataset, names)
+            if not lake.versioned:
+                forget_parts(spark, lake.table("parts"), dataset, names)
             report = build_silver_months(
-                scan_raw(
-                    spark,
-                    lake.table("bronze"),
-                    dataset,
-                    span if lake.near_folders_only else None,
-                ),
+                scan_landed(spark, lake.table("bronze"), lake.table("manifest"), dataset, span),
                 dataset,
                 span,
                 [(day.year, day.month) for day in days.values()],
@@ -130,6 +148,7 @@ def _clean_dataset(
                 lake.bounds,
                 lake.rules,
                 lake.files.get(dataset),
+                write_gated_versions if lake.versioned else write_gated_months,
             )
             stamp = datetime.now(timezone.utc).isoformat()
             rows, failed = [], {}
@@ -158,7 +177,25 @@ def _clean_dataset(
 
 
 def read_mart(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
-    return spark.read.parquet(lake.table(f"gold/{name}"))
+    mart = VersionedTable(spark, lake.table(f"gold/{name}"))
+    return mart.read() if mart.exists() else spark.read.parquet(mart.root)
+
+
+def register(spark: SparkSession, lake: Lake) -> None:
+    """External tables of silver and the datamarts, and the view of published columns."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {lake.catalog}")
+    silver, name = lake.table("silver/trips"), f"{lake.catalog}.silver_trips"
+    if lake.versioned:
+        point_table(spark, name, silver_table(spark, silver), SILVER)
+    else:
+        register_silver(spark, silver, name)
+    for mart in lake.marts:
+        root, entry = lake.table(f"gold/{mart}"), f"{lake.catalog}.gold_{mart}"
+        if lake.versioned:
+            point_table(spark, entry, VersionedTable(spark, root))
+        else:
+            register_table(spark, entry, root)
+    replace_unified_view(spark, name, f"{lake.catalog}.gold_trips_unified")
 
 
 def run(
@@ -172,17 +209,29 @@ def run(
     """Process what is due and return the (dataset, period) pairs done.
 
     ``periods`` names (dataset, period) pairs to build instead, whether they
-    are done or not; files that have landed are not fetched again. The marts are rebuilt on every run, also when nothing was due, and only
-    when no dataset failed.
+    are done or not; a month that has landed is fetched again only if its source
+    holds other rows now. The marts are rebuilt on every run, also when nothing
+    was due, and only when no dataset failed.
     """
     prepare(spark, FILE_SIZING)
     pepper = configured_pepper(spark)
+    silver = lake.table("silver/trips")
+    if Folder(spark, silver).glob(f"{PARTITIONS[0]}=*" if lake.versioned else "version=*"):
+        raise ValueError(f"{silver} was begun in the other layout")
     if periods is None:
         plan = plan_run(spark, lake, as_of, datasets, whole_backlog)
     else:
         asked = sorted({(check_dataset(d), parse_period(p).strftime("%Y-%m")) for d, p in periods})
         plan = spark.createDataFrame(asked, "dataset string, period string")
-    landings = land(spark, plan, lake.source, lake.table("bronze"))
+    landings = land(
+        spark,
+        plan,
+        lake.source,
+        lake.table("bronze"),
+        manifest=lake.table("manifest"),
+        ledger=lake.table("ledger"),
+        refresh=periods is not None,
+    )
     if landings:
         record(
             spark,
@@ -209,12 +258,19 @@ def run(
     if errors:
         raise RunFailed("; ".join(errors))
 
-    silver = lake.table("silver/trips")
     if not Folder(spark, silver).exists():
         return []  # nothing has ever been due
+    if lake.versioned and not silver_table(spark, silver).exists():
+        return []  # nothing has passed its gate yet
     trips = unified_trips(spark, silver)
     publish_view(trips)
     zones = checked(read_zones(spark, lake.zones_csv))
-    parts = refresh_parts(spark, silver, lake.table("parts")) if lake.incremental else None
-    build_marts(spark, trips, zones, lake.table("gold"), lake.marts, parts)
+    parts = None
+    if lake.incremental and lake.versioned:
+        parts = refresh_versioned_parts(spark, silver_table(spark, silver), lake.table("parts"))
+    elif lake.incremental:
+        parts = refresh_parts(spark, silver, lake.table("parts"))
+    build_marts(spark, trips, zones, lake.table("gold"), lake.marts, parts, lake.versioned)
+    if lake.catalog:
+        register(spark, lake)
     return sorted((x.dataset, x.period) for x in landings)

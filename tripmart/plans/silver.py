@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Row
 
 from tripmart.functions.privacy import pseudonymise
@@ -61,7 +63,8 @@ def build_silver_months(
     bounds: Bounds = Bounds(),
     rules: tuple[Rule, ...] = SILVER_RULES,
     files: int | None = None,
+    write: Callable[..., list[Row]] = write_gated_months,
 ) -> list[Row]:
     """Build the span in one job; every month passes or fails the gate alone."""
     trips = silver_trips(raw, dataset, span, pepper, bounds)
-    return write_gated_months(arrange(trips, span, files), target, months, rules)
+    return write(arrange(trips, span, files), target, months, rules)

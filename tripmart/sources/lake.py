@@ -18,6 +18,7 @@ from tripmart.operators.quality import (
 )
 from tripmart.schema import DATASETS, PARTITIONS, SILVER, UNIFIED
 from tripmart.sources.files import Folder
+from tripmart.sources.versions import VersionedTable
 
 # Below the table folder, yet invisible to its readers (leading underscore).
 _STAGING = "_staging"
@@ -120,6 +121,42 @@ def write_gated_months(
     return report
 
 
+def silver_table(spark: SparkSession, root: str) -> VersionedTable:
+    return VersionedTable(spark, root, PARTITIONS)
+
+
+def write_gated_versions(
+    trips: DataFrame,
+    target: str,
+    months: list[tuple[int, int]],
+    rules: tuple[Rule, ...] = SILVER_RULES,
+    partitions: tuple[str, ...] = PARTITIONS,
+) -> list[Row]:
+    """As ``write_gated_months``, published by one commit record.
+
+    All months that pass become visible at once, those that fail stay a version
+    that no reader sees. A run that replaced the same months meanwhile makes
+    this one fail before it publishes anything.
+    """
+    spark = trips.sparkSession
+    table = VersionedTable(spark, target, partitions)
+    since = table.head()
+    version = table.stage(trips)
+    written = spark.read.schema(trips.schema).parquet(table.folder(version))
+    planned = spark.createDataFrame(months, "year int, month int")
+    report = evaluate_months(written, planned, rules).collect()
+    keep = set(months) - {(r["year"], r["month"]) for r in report if r["outcome"] == "Failed"}
+    parts = [part for part in table.parts_of(version) if _month_of(part) in keep]
+    if parts:
+        table.commit(version, parts, since)
+    return report
+
+
+def _month_of(part: str) -> tuple[int, int]:
+    values = dict(piece.split("=", 1) for piece in part.split("/"))
+    return int(values["year"]), int(values["month"])
+
+
 def overwrite_partitions(df: DataFrame, target: str, *partitions: str) -> None:
     """Replace only the partitions present in ``df``; an empty one changes nothing."""
     (
@@ -156,6 +193,10 @@ def materialise(mart: DataFrame, target: str) -> None:
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
+    """Silver of either layout: plain partition folders, or versions with a commit log."""
+    table = silver_table(spark, root)
+    if table.exists() or Folder(spark, root).glob("version=*"):
+        return table.read(SILVER)
     return spark.read.schema(SILVER).parquet(root)
 
 
