@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 TRIPS = "nb_courses"
@@ -14,9 +15,39 @@ def iso_weekday(ts: Column) -> Column:
     return F.weekday(ts) + 1
 
 
-def total(column: str | Column) -> Column:
-    """Sum as double; decimal inputs are added exactly before the cast."""
-    return F.sum(column).cast("double")
+# Doubles are added as whole millionths, in two longs of 20 low and 44 high bits.
+_UNIT, _LOW_BITS = 1_000_000, 20
+#: Beyond this a double's millionths do not fit into a long.
+_WIDE = 9e12
+
+
+def exact_sum(frame: DataFrame, column: str) -> Column:
+    """Sum of a column that does not depend on the order or partitioning of rows.
+
+    Decimals and whole numbers are added as they are. A double counts as the
+    nearest millionth: longs are added, in pieces too small to overflow, and
+    make a DECIMAL(38,6) at the end, so sums of sums stay exact as well. What
+    is no number or beyond 32 digits is left out.
+    """
+    kind = frame.schema[column].dataType
+    if not isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.sum(column)
+    value = F.col(column).cast("double")
+    fits = F.abs(value) < _WIDE
+    units = F.when(fits, F.rint(value * _UNIT).try_cast("bigint"))
+    high = F.sum(F.shiftright(units, _LOW_BITS))
+    low = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
+    wide = F.sum(F.when(~fits, value.try_cast("decimal(32,6)")))
+    whole = high.cast("decimal(31,0)") * F.lit(1 << _LOW_BITS).cast("decimal(7,0)") + low.cast("decimal(19,0)")
+    small = (whole * F.lit("0.000001").cast("decimal(7,6)")).cast("decimal(38,6)")
+    none = F.lit(0).cast("decimal(38,6)")
+    both = F.coalesce(small, none) + F.coalesce(wide.cast("decimal(38,6)"), none)
+    return F.when(high.isNotNull() | wide.isNotNull(), both.cast("decimal(38,6)"))
+
+
+def total(frame: DataFrame, column: str) -> Column:
+    """Exact sum as double."""
+    return exact_sum(frame, column).cast("double")
 
 
 def ratio(numerator: Column, denominator: Column, scale: float = 1.0) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tripmart.functions.measures import (
     TRIPS,
+    exact_sum,
     iso_weekday,
     lower_median,
     ratio,
@@ -42,6 +43,10 @@ def _count(carried: bool) -> Column:
     return (F.sum(TRIPS) if carried else F.count(F.lit(1))).alias(TRIPS)
 
 
+def _added(frame: DataFrame, names: tuple[str, ...]) -> list[Column]:
+    return [exact_sum(frame, name).alias(name) for name in names]
+
+
 def sums_by_place(
     trips: DataFrame,
     zones: Zones,
@@ -56,18 +61,17 @@ def sums_by_place(
     fewer groups. Without one, trips are first summed per location id, so that
     the shuffle join only sees that small result.
     """
-    added = [F.sum(c).alias(c) for c in sums]
     names = [name for cols in places.values() for name in cols]
     keyed = [column.alias(name) for name, column in keys.items()]
     if zones.small:
         grouped = trips
         for id_column, cols in places.items():
             grouped = locate(grouped, zones, id_column, **cols)
-        return grouped.groupBy(*keyed, *names).agg(_count(carried), *added)
-    grouped = trips.groupBy(*keyed, *places).agg(_count(carried), *added)
+        return grouped.groupBy(*keyed, *names).agg(_count(carried), *_added(trips, sums))
+    grouped = trips.groupBy(*keyed, *places).agg(_count(carried), *_added(trips, sums))
     for id_column, cols in places.items():
         grouped = locate(grouped, zones, id_column, **cols)
-    return grouped.groupBy(*keys, *names).agg(_count(True), *added)
+    return grouped.groupBy(*keys, *names).agg(_count(True), *_added(grouped, sums))
 
 
 def _of(name: str) -> Column:
@@ -134,7 +138,7 @@ def service_comparison(trips: DataFrame, zones: Zones, k: int = MIN_CELL) -> Dat
     lines = (
         trips.filter(F.col("total_amount") > 0)
         .groupBy("service_type", "pu_location_id", F.col("total_amount").alias("price"))
-        .agg(_count(False), *[F.sum(c).alias(c) for c in SERVICE_SUMS])
+        .agg(_count(False), *_added(trips, SERVICE_SUMS))
     )
     place = {"pu_location_id": {"borough": "borough"}}
     service = {"service_type": F.col("service_type")}
@@ -188,9 +192,7 @@ def demand_mart(
     rows: DataFrame, day: Column, hour: Column, k: int = MIN_CELL, carried: bool = False
 ) -> DataFrame:
     cells = rows.groupBy(day.alias("date_course"), hour.alias("heure"), "service_type").agg(
-        _count(carried),
-        F.sum("trip_distance").alias("trip_distance"),
-        F.sum("trip_duration_sec").alias("trip_duration_sec"),
+        _count(carried), *_added(rows, ("trip_distance", "trip_duration_sec"))
     )
     distance, seconds, n = _of("trip_distance"), _of("trip_duration_sec"), F.col(TRIPS)
     return suppress_small_cells(cells, k=k).select(
@@ -245,12 +247,12 @@ MARTS: dict[str, Callable[..., DataFrame]] = {
 
 def roll_up_revenue(mart: DataFrame, *keys: str) -> DataFrame:
     """Coarser grain of the revenue mart: sums are added, ratios taken anew."""
-    n, revenue, seconds = F.sum(TRIPS), total("revenu_total"), total("duree_total_sec")
-    distance = total("distance_total")
+    n, revenue, seconds = F.sum(TRIPS), total(mart, "revenu_total"), total(mart, "duree_total_sec")
+    distance = total(mart, "distance_total")
     return mart.groupBy(*keys).agg(
         n.alias(TRIPS),
         revenue.alias("revenu_total"),
-        total("tip_total").alias("tip_total"),
+        total(mart, "tip_total").alias("tip_total"),
         distance.alias("distance_total"),
         seconds.alias("duree_total_sec"),
         (revenue / n).alias("revenu_moyen"),

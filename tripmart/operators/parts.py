@@ -15,17 +15,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.functions.measures import (
-    TRIPS,
-    iso_weekday,
-)
+from tripmart.functions.measures import TRIPS, exact_sum, iso_weekday
 from tripmart.functions.privacy import MIN_CELL
 from tripmart.operators import marts
 from tripmart.schema import PARTITIONS
 from tripmart.sources.zones import Zones
 
-def _sums(names: tuple[str, ...]) -> list[Column]:
-    return [F.sum(n).alias(n) for n in names]
+
+def _sums(trips: DataFrame, names: tuple[str, ...]) -> list[Column]:
+    return [exact_sum(trips, n).alias(n) for n in names]
 
 
 def hourly_part(trips: DataFrame) -> DataFrame:
@@ -43,7 +41,7 @@ def hourly_part(trips: DataFrame) -> DataFrame:
             F.hour("pickup_datetime").alias("heure"),
             paid,
         )
-        .agg(F.count(F.lit(1)).alias(TRIPS), *_sums(marts.REVENUE_SUMS))
+        .agg(F.count(F.lit(1)).alias(TRIPS), *_sums(trips, marts.REVENUE_SUMS))
     )
 
 
@@ -53,7 +51,7 @@ def route_part(trips: DataFrame) -> DataFrame:
     return (
         trips.filter(F.col("total_amount") > 0)
         .groupBy(*PARTITIONS, "pu_location_id", "do_location_id")
-        .agg(F.count(F.lit(1)).alias(TRIPS), *_sums(names))
+        .agg(F.count(F.lit(1)).alias(TRIPS), *_sums(trips, names))
     )
 
 

@@ -20,7 +20,9 @@ def registry_state(events: DataFrame) -> DataFrame:
     """
 
     def latest(stage: str, value: Column) -> Column:
-        return F.max_by(value, F.when(F.col("stage") == stage, F.col("at")))
+        # Equal moments are decided as in latest_events.
+        order = F.struct("at", "status", "detail")
+        return F.max_by(value, F.when((F.col("stage") == stage) & F.col("at").isNotNull(), order))
 
     def moment(stage: str) -> Column:
         return F.max(F.when(F.col("stage") == stage, F.col("at")))
@@ -116,6 +118,37 @@ def next_periods(
     )
 
 
+def next_missing(
+    datasets: DataFrame,
+    state: DataFrame,
+    as_of: Column,
+    start: str = FIRST_PERIOD,
+    lag_months: int = LAG_MONTHS,
+) -> DataFrame:
+    """One planned month per dataset: the first published one that is not done.
+
+    Unlike the month after the last one done this closes every gap, also one
+    that nobody tried yet, as months built by name leave behind.
+    """
+    due = backlog(datasets, state, as_of, start, lag_months)
+    first = due.groupBy("dataset").agg(F.min(F.struct("period", "year", "month")).alias("first"))
+    return datasets.select("dataset").join(first, "dataset", "left").select(
+        "dataset", "first.period", "first.year", "first.month", F.col("first").isNotNull().alias("hasWork")
+    )
+
+
+def latest_events(events: DataFrame) -> DataFrame:
+    """The events that decide the state: the newest per dataset, period and stage.
+
+    Equal moments are decided by status and detail, so any copy of the events
+    in any order gives the same ones.
+    """
+    newest = F.max(F.struct("at", "status", "detail")).alias("e")
+    return events.groupBy("dataset", "period", "stage").agg(newest).select(
+        "dataset", "period", "stage", "e.status", "e.detail", "e.at"
+    )
+
+
 def not_landed(plan: DataFrame, landed: DataFrame) -> DataFrame:
     """Planned months of which nothing has landed yet."""
     return plan.join(landed, ["dataset", "period"], "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import operator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -182,6 +182,42 @@ def require_passed(report: DataFrame) -> None:
         raise QualityGateError(failed, report)
 
 
+def rejects_by_month(aligned: DataFrame, predicates: dict[str, Column], pickup: str = "pickup_datetime") -> DataFrame:
+    """(year, month, predicate, nb_rows): rows read and kept, and rows breaking each predicate.
+
+    Rows belong to the month of their pickup; those without one have none. All
+    counts come from one pass; a row may break several predicates.
+    """
+    checks = {name: F.coalesce(good, F.lit(False)) for name, good in predicates.items()}
+    kept = F.lit(True)
+    for good in checks.values():
+        kept = kept & good
+    counts = {"rows_read": F.count(F.lit(1)), "rows_kept": F.count_if(kept)}
+    counts |= {name: F.count_if(~good) for name, good in checks.items()}
+    names = list(counts)
+    counted = aligned.groupBy(F.year(pickup).alias("year"), F.month(pickup).alias("month")).agg(
+        *[counts[name].alias(f"m{i}") for i, name in enumerate(names)]
+    )
+    lines = [F.struct(F.lit(name).alias("predicate"), F.col(f"m{i}").alias("nb_rows")) for i, name in enumerate(names)]
+    return counted.select("year", "month", F.explode(F.array(*lines)).alias("r")).select("year", "month", "r.*")
+
+
+def against_history(
+    history: DataFrame, keys: tuple[str, ...], period: str, value: str, least: float = 0.5, months: int = 6
+) -> DataFrame:
+    """The history with ``usual``, the median of the months before, and the outcome.
+
+    A month fails whose value is below ``least`` times that median. The first
+    month of its keys has nothing to be compared with and passes.
+    """
+    before = Window.partitionBy(*keys).orderBy(period).rowsBetween(-months, -1)
+    usual = F.percentile(F.col(value).cast("double"), F.lit(0.5)).over(before)
+    holds = F.col(value) >= F.col("usual") * least
+    return history.withColumn("usual", usual).withColumn(
+        "outcome", F.when(F.coalesce(holds, F.lit(True)), "Passed").otherwise("Failed")
+    )
+
+
 def evaluate_months(
     staged: DataFrame, months: DataFrame, rules: tuple[Rule, ...] = SILVER_RULES
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from datetime import date as Date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.functions.measures import TRIPS
+from tripmart.functions.measures import TRIPS, total
 
 
 def _equal_text(mart: DataFrame, filters: dict[str, str | None]) -> DataFrame:
@@ -136,7 +136,7 @@ def zone_revenue(mart: DataFrame, zone: str) -> DataFrame:
     return (
         mart.filter(F.col("zone") == F.lit(zone))
         .groupBy("zone", "service_type")
-        .agg(F.sum("revenu_total").alias("revenu"))
+        .agg(total(mart, "revenu_total").alias("revenu"))
         .orderBy(F.desc_nulls_last("revenu"), *_ties("service_type"))
     )
 

@@ -114,28 +114,31 @@ silver AS (
          CAST(month(pickup_datetime) AS INTEGER) AS month
   FROM aligned WHERE {_VALID})"""
 
-_REVENUE_CELLS = _EVENT_TRIPS + "," + _ZONES + """,
+_EXACT = "CAST(sum(CAST({} AS DECIMAL(18,6))) AS DOUBLE)"
+_REVENUE_OF = f"""
 cells AS (
   SELECT service_type, borough, zone,
          CAST(isodow(pickup_datetime) AS INTEGER) AS jour_semaine,
          CAST(hour(pickup_datetime) AS INTEGER) AS heure,
          count(*) AS nb_courses,
-         CAST(sum(total_amount) AS DOUBLE) AS revenu_total,
-         CAST(sum(tip_amount) AS DOUBLE) AS tip_total,
+         {_EXACT.format("total_amount")} AS revenu_total,
+         {_EXACT.format("tip_amount")} AS tip_total,
          sum(trip_distance) AS distance_total,
          sum(trip_duration_sec) AS duree_total_sec,
-         CAST(sum(total_amount) AS DOUBLE) / count(*) AS revenu_moyen,
-         CAST(sum(total_amount) AS DOUBLE)
+         {_EXACT.format("total_amount")} / count(*) AS revenu_moyen,
+         {_EXACT.format("total_amount")}
            / nullif(sum(trip_duration_sec) / CAST(60 AS DOUBLE), 0) AS revenu_par_min,
-         CAST(sum(tip_amount) AS DOUBLE)
-           / nullif(CAST(sum(fare_amount) AS DOUBLE), 0) * CAST(100 AS DOUBLE) AS tip_pct,
+         {_EXACT.format("tip_amount")}
+           / nullif({_EXACT.format("fare_amount")}, 0) * CAST(100 AS DOUBLE) AS tip_pct,
          sum(trip_distance) / count(*) AS distance_moyenne
-  FROM trips LEFT JOIN zones ON pu_location_id = locationid
+  FROM {{}} LEFT JOIN zones ON pu_location_id = locationid
   WHERE total_amount > 0 AND trip_duration_sec > 0
   GROUP BY ALL)"""
-_REVENUE = _REVENUE_CELLS + ",\nmart AS (SELECT * FROM cells WHERE nb_courses >= 5)"
+_PUBLISHED = ",\nmart AS (SELECT * FROM cells WHERE nb_courses >= 5)"
+_REVENUE_CELLS = _EVENT_TRIPS + "," + _ZONES + "," + _REVENUE_OF.format("trips")
+_REVENUE = _REVENUE_CELLS + _PUBLISHED
 
-_DEMAND = _EVENT_TRIPS + """,
+_DEMAND_OF = """
 mart AS (
   SELECT CAST(pickup_datetime AS DATE) AS date_course,
          CAST(hour(pickup_datetime) AS INTEGER) AS heure,
@@ -145,19 +148,20 @@ mart AS (
          sum(trip_duration_sec) / count(*) AS duree_moy_sec,
          sum(trip_distance) / nullif(sum(trip_duration_sec) / CAST(3600 AS DOUBLE), 0)
            AS vitesse_moy_mph
-  FROM trips WHERE trip_duration_sec > 0
+  FROM {} WHERE trip_duration_sec > 0
   GROUP BY ALL HAVING count(*) >= 5)"""
+_DEMAND = _EVENT_TRIPS + "," + _DEMAND_OF.format("trips")
 
-_SERVICES = _LINE_TRIPS + "," + _ZONES + """,
+_SERVICES_OF = f"""
 base AS (
   SELECT service_type, borough, count(*) AS nb_courses,
          CAST(quantile_disc(total_amount, 0.5) AS DOUBLE) AS panier_median,
-         CAST(sum(tip_amount) AS DOUBLE)
-           / nullif(CAST(sum(fare_amount) AS DOUBLE), 0) * CAST(100 AS DOUBLE) AS tip_pct,
-         CASE WHEN service_type = 'fhvhv' THEN CAST(sum(driver_pay) AS DOUBLE)
-           / nullif(CAST(sum(total_amount) AS DOUBLE), 0) * CAST(100 AS DOUBLE) END
+         {_EXACT.format("tip_amount")}
+           / nullif({_EXACT.format("fare_amount")}, 0) * CAST(100 AS DOUBLE) AS tip_pct,
+         CASE WHEN service_type = 'fhvhv' THEN {_EXACT.format("driver_pay")}
+           / nullif({_EXACT.format("total_amount")}, 0) * CAST(100 AS DOUBLE) END
            AS driver_share_pct
-  FROM trips LEFT JOIN zones ON pu_location_id = locationid
+  FROM {{}} LEFT JOIN zones ON pu_location_id = locationid
   WHERE total_amount > 0
   GROUP BY service_type, borough HAVING count(*) >= 5),
 mart AS (
@@ -166,13 +170,14 @@ mart AS (
            / CAST(sum(nb_courses) OVER (PARTITION BY borough) AS DOUBLE) AS part_marche_pct,
          panier_median, tip_pct, driver_share_pct
   FROM base)"""
+_SERVICES = _LINE_TRIPS + "," + _ZONES + "," + _SERVICES_OF.format("trips")
 
-_OD_OF = """
+_OD_OF = f"""
 mart AS (
   SELECT p.borough AS pu_borough, d.borough AS do_borough, service_type,
          count(*) AS nb_courses, sum(trip_distance) / count(*) AS distance_moy,
-         CAST(sum(total_amount) AS DOUBLE) / count(*) AS revenu_moy
-  FROM {} LEFT JOIN zones p ON pu_location_id = p.locationid
+         {_EXACT.format("total_amount")} / count(*) AS revenu_moy
+  FROM {{}} LEFT JOIN zones p ON pu_location_id = p.locationid
           LEFT JOIN zones d ON do_location_id = d.locationid
   WHERE total_amount > 0
   GROUP BY p.borough, d.borough, service_type HAVING count(*) >= 5)"""
@@ -239,31 +244,48 @@ def _rules(source: str) -> str:
 _RULE_ROWS = "SELECT rule, actual, CASE WHEN ok THEN 'Passed' ELSE 'Failed' END AS outcome"
 
 
+_PREDICATES = (
+    ("pickup_datetime_present", "pickup_datetime IS NOT NULL"),
+    ("dropoff_datetime_present", "dropoff_datetime IS NOT NULL"),
+    ("trip_distance_present", "trip_distance IS NOT NULL"),
+    ("trip_duration_sec_present", "trip_duration_sec IS NOT NULL"),
+    ("total_amount_present", "total_amount IS NOT NULL"),
+    ("pu_location_id_present", "pu_location_id IS NOT NULL"),
+    ("do_location_id_present", "do_location_id IS NOT NULL"),
+    ("pickup_in_period", _IN_MONTH),
+    ("chronology", "dropoff_datetime > pickup_datetime"),
+    ("duration_range", "trip_duration_sec > 0 AND trip_duration_sec <= 86400000"),
+    ("distance_range", "trip_distance > 0 AND trip_distance <= 45"),
+    ("fare_amount_not_negative", "fare_amount >= 0"),
+    ("total_amount_not_negative", "total_amount >= 0"),
+    ("pu_location_id_known", "pu_location_id BETWEEN 1 AND 25"),
+    ("do_location_id_known", "do_location_id BETWEEN 1 AND 25"),
+)
+
+
 def _rejects() -> str:
-    predicates = (
-        ("pickup_datetime_present", "pickup_datetime IS NOT NULL"),
-        ("dropoff_datetime_present", "dropoff_datetime IS NOT NULL"),
-        ("trip_distance_present", "trip_distance IS NOT NULL"),
-        ("trip_duration_sec_present", "trip_duration_sec IS NOT NULL"),
-        ("total_amount_present", "total_amount IS NOT NULL"),
-        ("pu_location_id_present", "pu_location_id IS NOT NULL"),
-        ("do_location_id_present", "do_location_id IS NOT NULL"),
-        ("pickup_in_period", _IN_MONTH),
-        ("chronology", "dropoff_datetime > pickup_datetime"),
-        ("duration_range", "trip_duration_sec > 0 AND trip_duration_sec <= 86400000"),
-        ("distance_range", "trip_distance > 0 AND trip_distance <= 45"),
-        ("fare_amount_not_negative", "fare_amount >= 0"),
-        ("total_amount_not_negative", "total_amount >= 0"),
-        ("pu_location_id_known", "pu_location_id BETWEEN 1 AND 25"),
-        ("do_location_id_known", "do_location_id BETWEEN 1 AND 25"),
-    )
     lines = [
         "SELECT 'rows_read' AS predicate, count(*) AS nb_rows FROM aligned",
         f"SELECT 'rows_kept', count(*) FROM aligned WHERE {_VALID} AND {_IN_MONTH}",
     ]
     lines += [
         f"SELECT '{name}', count(*) FILTER (WHERE NOT coalesce({good}, false)) FROM aligned"
-        for name, good in predicates
+        for name, good in _PREDICATES
+    ]
+    return "\nUNION ALL ".join(lines)
+
+
+def _reject_history() -> str:
+    """Rows read, kept and breaking each predicate, per service and month of pickup."""
+    by_month = "service_type, strftime(pickup_datetime, '%Y-%m') AS period"
+    lines = [
+        f"SELECT {by_month}, 'rows_read' AS predicate, count(*) AS nb_rows FROM aligned GROUP BY ALL",
+        f"SELECT {by_month}, 'rows_kept', count(*) FILTER (WHERE coalesce({_VALID}, false)) FROM aligned GROUP BY ALL",
+    ]
+    lines += [
+        f"SELECT {by_month}, '{name}', count(*) FILTER (WHERE NOT coalesce({good}, false)) FROM aligned GROUP BY ALL"
+        for name, good in _PREDICATES
+        if name != "pickup_in_period"
     ]
     return "\nUNION ALL ".join(lines)
 
@@ -351,17 +373,16 @@ FROM silver GROUP BY service_type, year, month""",
     ),
     "dynamic_overwrite": _with(
         _SILVER,
-        """SELECT year, month, count(*) AS nb_courses,
+        """SELECT service_type, year, month, count(*) AS nb_courses,
   sum(trip_distance + CASE WHEN year = 1998 AND month = 5 THEN 100 ELSE 0 END)
     AS distance_total
-FROM silver WHERE service_type = 'fhvhv' GROUP BY year, month""",
+FROM silver GROUP BY service_type, year, month""",
     ),
     "unified_view": _with(
         _SILVER,
         """SELECT service_type, year, payment_type, count(*) AS nb_courses,
   sum(trip_duration_sec) AS duree_total_sec
-FROM silver WHERE service_type IN ('yellow', 'fhvhv')
-GROUP BY service_type, year, payment_type""",
+FROM silver GROUP BY service_type, year, payment_type""",
     ),
     "unified_branches": _with(
         _SILVER,
@@ -370,19 +391,123 @@ GROUP BY service_type, year, payment_type""",
     ),
     "catalog_tables": _with(
         _SILVER,
-        """SELECT year, month, count(*) AS nb_courses, sum(trip_distance) AS distance_total
-FROM silver WHERE service_type = 'green' GROUP BY year, month""",
+        """SELECT service_type, year, month, count(*) AS nb_courses, sum(trip_distance) AS distance_total
+FROM silver GROUP BY service_type, year, month""",
     ),
     "raw_schema_drift": _with(
         _LINES,
-        """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS nb_courses,
-  CAST(sum(l_linenumber) AS BIGINT) AS passengers, count(*) AS nb_airport_fee
-FROM lines WHERE service = 'yellow' GROUP BY 1""",
+        """SELECT service AS service_type, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS nb_courses,
+  CAST(sum(CASE WHEN service <> 'fhvhv' THEN l_linenumber END) AS BIGINT) AS passengers,
+  count(*) FILTER (service = 'yellow') AS nb_airport_fee
+FROM lines GROUP BY ALL""",
     ),
-    "backfill_od_matrix": _with(
-        _SILVER + "," + _ZONES + "," + _OD_OF.format("silver"),
-        """SELECT pu_borough, do_borough, service_type, nb_courses,
-  distance_moy, round(revenu_moy * nb_courses, 4) AS revenu_total FROM mart""",
+    "backfill_od_matrix": _with(_SILVER + "," + _ZONES + "," + _OD_OF.format("silver"), "SELECT * FROM mart"),
+    "silver_revenue_zone_hour": _with(
+        _SILVER + "," + _ZONES + "," + _REVENUE_OF.format("silver") + _PUBLISHED, "SELECT * FROM mart"
+    ),
+    "silver_service_comparison": _with(_SILVER + "," + _ZONES + "," + _SERVICES_OF.format("silver"), "SELECT * FROM mart"),
+    "silver_demand": _with(_SILVER + "," + _DEMAND_OF.format("silver"), "SELECT * FROM mart"),
+    "raw_manifest_prune": _with(
+        _ALL_ALIGNED
+        + """,
+delivered AS (
+  SELECT service, o_orderdate AS pickup, date_trunc('month', o_orderdate)
+    + CASE WHEN l_quantity % 4 = 0 THEN INTERVAL 12 MONTH ELSE INTERVAL 0 MONTH END AS folder FROM lines),
+files AS (SELECT service, folder, min(pickup) AS first, max(pickup) AS last FROM delivered GROUP BY ALL),
+counted AS (
+  SELECT service AS dataset, count(*) AS nb_files,
+    count(*) FILTER (last >= TIMESTAMP '1998-05-01' AND first < TIMESTAMP '1998-06-01') AS nb_read
+  FROM files GROUP BY service)""",
+        f"""SELECT dataset, nb_files, nb_read, count(service_type) AS nb_courses, sum(trip_distance) AS distance_total
+FROM counted LEFT JOIN (SELECT * FROM aligned WHERE {_VALID} AND {_IN_MONTH}) ON dataset = service_type
+GROUP BY dataset, nb_files, nb_read""",
+    ),
+    "versioned_overwrite": _with(
+        _SILVER,
+        """SELECT service_type, year, month, count(*) AS nb_courses, sum(trip_distance) AS distance_total, 'first' AS state
+FROM silver GROUP BY service_type, year, month
+UNION ALL
+SELECT service_type, year, month, count(*),
+  sum(trip_distance + CASE WHEN year = 1998 AND month = 5 THEN 100 ELSE 0 END), 'now'
+FROM silver WHERE NOT (year = 1997 AND month = 12) GROUP BY service_type, year, month""",
+    ),
+    "mart_republish": _with(
+        _LINE_TRIPS + "," + _ZONES + "," + _OD_OF.format("trips"),
+        """SELECT *, CAST(2 AS INTEGER) AS build FROM mart
+UNION ALL SELECT *, CAST(1 AS INTEGER) FROM mart WHERE service_type <> 'green'""",
+    ),
+    "forced_files": _with(
+        _SILVER,
+        f"""SELECT service_type, CAST(least(3, count(*)) AS BIGINT) AS nb_files, count(*) AS nb_courses
+FROM silver WHERE {_IN_MONTH} GROUP BY service_type""",
+    ),
+    "compacted_files": _with(
+        _SILVER,
+        """SELECT service_type, year, month, CAST(1 AS BIGINT) AS nb_files, count(*) AS nb_courses,
+  sum(trip_distance) AS distance_total
+FROM silver GROUP BY service_type, year, month""",
+    ),
+    "backfill_gate_by_month": _with(
+        _SILVER
+        + """,
+months AS (
+  SELECT s AS service_type, CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month
+  FROM (VALUES ('yellow'), ('green'), ('fhvhv')) AS v(s), range(1997, 1999) AS a(y), range(1, 13) AS b(m)),
+measured AS (
+  SELECT m.service_type, m.year, m.month, count(t.service_type) AS n,
+    count(t.service_type) FILTER (NOT t.trip_distance > 0) AS bad, count(t.payment_type) AS paid
+  FROM months m LEFT JOIN silver t USING (service_type, year, month) GROUP BY ALL),
+rules AS (
+  SELECT service_type, year, month, n, 'RowCount > 0' AS rule, CAST(n AS DOUBLE) AS actual, n > 0 AS ok FROM measured
+  UNION ALL SELECT service_type, year, month, n, 'ColumnValues "trip_distance" > 0', CAST(bad AS DOUBLE), bad = 0 FROM measured
+  UNION ALL SELECT service_type, year, month, n, 'Completeness "payment_type" > 0.95', CAST(paid AS DOUBLE) / nullif(n, 0),
+    coalesce(CAST(paid AS DOUBLE) / nullif(n, 0) > 0.95, false) FROM measured)""",
+        """SELECT service_type, year, month, rule, actual, CASE WHEN ok THEN 'Passed' ELSE 'Failed' END AS outcome,
+  CASE WHEN bool_and(ok) OVER (PARTITION BY service_type, year, month) THEN n END AS nb_courses
+FROM rules""",
+    ),
+    "quality_history": _with(
+        _ALL_ALIGNED + f",\nhistory AS ({_reject_history()})",
+        """SELECT service_type, period, predicate, nb_rows, usual,
+  CASE WHEN coalesce(nb_rows >= usual * CAST(0.9 AS DOUBLE), true) THEN 'Passed' ELSE 'Failed' END AS outcome
+FROM (SELECT *, CAST(median(nb_rows) OVER (PARTITION BY service_type, predicate ORDER BY period
+        ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS DOUBLE) AS usual FROM history)""",
+    ),
+    "land_twice": _with(
+        _LINES
+        + """,
+sources AS (
+  SELECT service AS dataset, CASE month(o_orderdate) % 2 WHEN 0 THEN '1998-04' ELSE '1998-05' END AS period,
+    count(*) AS n FROM lines GROUP BY ALL),
+landed AS (
+  SELECT dataset, period, CASE WHEN dataset = 'green' AND period = '1998-05'
+    THEN (SELECT count(*) FROM lines WHERE service = 'green' AND l_quantity <= 10) ELSE n END AS nb_rows
+  FROM sources)""",
+        """SELECT CAST(turn AS INTEGER) AS turn, dataset, period,
+  CASE WHEN turn = 1 OR turn = 4 AND dataset = 'green' AND period = '1998-05' THEN 'ingested' ELSE 'skipped' END AS detail,
+  turn = 3 AND dataset = 'green' AND period = '1998-05' AS changed, nb_rows
+FROM landed, range(1, 5) AS t(turn)""",
+    ),
+    "pipeline_run": _with(
+        _SILVER
+        + """,
+built AS (SELECT * FROM silver WHERE pickup_datetime >= TIMESTAMP '1998-04-01' AND pickup_datetime < TIMESTAMP '1998-07-01'),"""
+        + _ZONES
+        + ","
+        + _OD_OF.format("built"),
+        "SELECT * FROM mart",
+    ),
+    "zones_csv": _with(_ZONES, "SELECT * FROM zones"),
+    "marts_from_config": _with(
+        _LINE_TRIPS
+        + ","
+        + _ZONES
+        + ","
+        + _OD_OF.format("trips").replace("mart AS", "od AS")
+        + ","
+        + _SERVICES_OF.format("trips"),
+        """SELECT 'od_matrix' AS mart, count(*) AS nb_cells, CAST(sum(nb_courses) AS BIGINT) AS nb_courses FROM od
+UNION ALL SELECT 'service_comparison', count(*), CAST(sum(nb_courses) AS BIGINT) FROM mart""",
     ),
     "mart_revenue_zone_hour": _with(_REVENUE, "SELECT * FROM mart"),
     "mart_service_comparison": _with(_SERVICES, "SELECT * FROM mart"),
@@ -424,6 +549,20 @@ FROM state GROUP BY dataset""",
     ),
     "next_period": _with(_STATE, _NEXT.format("1998-07-01")),
     "next_period_none": _with(_STATE, _NEXT.format("1997-07-01")),
+    "next_period_gap": _with(
+        _STATE,
+        """SELECT d.dataset, strftime(f, '%Y-%m') AS period, CAST(year(f) AS INTEGER) AS year,
+  CAST(month(f) AS INTEGER) AS month, f IS NOT NULL AS "hasWork"
+FROM (SELECT dataset, (
+        SELECT min(m.day) FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '1998-07-01', INTERVAL 1 MONTH)) AS day) m
+        WHERE NOT EXISTS (
+          SELECT 1 FROM state s WHERE s.silver_status = 'DONE' AND s.dataset = x.dataset
+            AND s.period = strftime(m.day, '%Y-%m')
+            AND NOT (s.dataset = 'yellow' AND s.period = '1996-03')
+            AND NOT (s.dataset = 'fhvhv' AND s.period IN ('1997-11', '1997-12')))) AS f
+      FROM (SELECT DISTINCT dataset FROM months) x) d""",
+    ),
+    "registry_compacted": _with(_STATE, "SELECT * FROM state"),
     "backlog": _with(
         _STATE,
         """SELECT d.dataset, strftime(m.day, '%Y-%m') AS period,
@@ -470,7 +609,7 @@ FROM months""",
     ),
     "check_zone_revenue": _with(
         _REVENUE,
-        """SELECT zone, service_type, round(sum(revenu_total), 4) AS revenu
+        """SELECT zone, service_type, CAST(sum(CAST(revenu_total AS DECIMAL(18,6))) AS DOUBLE) AS revenu
 FROM mart WHERE zone = 'NATION_6' GROUP BY zone, service_type""",
     ),
     "check_hours": _with(

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.measures import TRIPS
 from tripmart.functions.periods import (
+    FILE_PREFIX,
     landing_folder,
     parse_period,
     period_from_parts,
@@ -16,9 +19,9 @@ from tripmart.functions.periods import (
     period_text,
     source_file,
 )
-from tripmart.functions.privacy import MIN_CELL, pseudonymise
+from tripmart.functions.privacy import MIN_CELL, PEPPER_SETTING, pseudonymise
 from tripmart.operators import marts, planning, serve
-from tripmart.operators.align import align, union_aligned
+from tripmart.operators.align import SHAPES, align, union_aligned
 from tripmart.operators.clean import Span, drop_repeats, keep_valid, reject_report, validity
 from tripmart.operators.parts import MARTS_FROM_PARTS, PARTS
 from tripmart.operators.quality import (
@@ -27,25 +30,35 @@ from tripmart.operators.quality import (
     Completeness,
     IsComplete,
     RowCount,
+    against_history,
     evaluate,
     failed_rules,
+    rejects_by_month,
 )
-from tripmart.plans.silver import build_silver, silver_trips
-from tripmart.schema import DATASETS, IDENTIFIERS, UNIFIED
+from tripmart.plans.refresh import build_marts
+from tripmart.plans.run import Lake, read_mart, run
+from tripmart.plans.silver import build_silver, build_silver_months, silver_trips
+from tripmart.schema import DATASETS, IDENTIFIERS, PARTITIONS, SILVER, UNIFIED
 from tripmart.session import in_parallel, prepare, shared_folder
 from tripmart.sources import derived
 from tripmart.sources.catalog import register_silver, replace_unified_view
 from tripmart.sources.lake import (
+    append_rows,
     materialise,
     overwrite_partitions,
     publish_view,
     read_silver,
+    silver_table,
     unified_by_branch,
     unified_trips,
     with_partitions,
+    write_gated_versions,
 )
-from tripmart.sources.raw import scan_raw
-from tripmart.sources.zones import checked
+from tripmart.sources.manifest import entries, last_landings, scan_landed
+from tripmart.sources.raw import land
+from tripmart.sources.registry import compact_events, read_events
+from tripmart.sources.versions import VersionedTable
+from tripmart.sources.zones import checked, read_zones
 
 # Parameters of the registered queries; the oracle states the same values.
 MONTH = Span.month(parse_period("1998-05"))
@@ -183,6 +196,13 @@ def _silver_history(spark: SparkSession, sf_dir: str) -> str:
     return target
 
 
+def _history_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver trips of the whole history of all services, not written yet."""
+    return union_aligned(
+        [silver_trips([derived.raw_lines(spark, sf_dir, d)], d, None, PEPPER, derived.LINE_BOUNDS) for d in DATASETS]
+    )
+
+
 def silver_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         read_silver(spark, _silver_history(spark, sf_dir))
@@ -198,13 +218,7 @@ def silver_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One month is written again with longer distances; the others stay."""
     target = shared_folder(spark, "overwrite")
-    trips = silver_trips(
-        [derived.raw_lines(spark, sf_dir, "fhvhv")],
-        "fhvhv",
-        None,
-        PEPPER,
-        derived.LINE_BOUNDS,
-    )
+    trips = _history_trips(spark, sf_dir)
     keys = ("service_type", "year", "month")
     overwrite_partitions(trips.hint("rebalance", *keys), target, *keys)
     again = trips.filter("year = 1998 and month = 5").withColumn(
@@ -214,13 +228,240 @@ def dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     overwrite_partitions(again.filter("trip_distance < 0"), target, *keys)
     return (
         read_silver(spark, target)
-        .groupBy("year", "month")
+        .groupBy("service_type", "year", "month")
         .agg(
             F.count(F.lit(1)).alias(TRIPS), F.sum("trip_distance").alias("distance_total")
         )
     )
 
 
+def _per_month(trips: DataFrame) -> DataFrame:
+    return trips.groupBy("service_type", "year", "month").agg(
+        F.count(F.lit(1)).alias(TRIPS), F.sum("trip_distance").alias("distance_total")
+    )
+
+
+def versioned_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of silver: one month replaced, one taken out, and the state before both."""
+    table = silver_table(spark, shared_folder(spark, "versions"))
+    first = table.publish(_history_trips(spark, sf_dir).hint("rebalance", *PARTITIONS))
+    again = table.read(SILVER).filter("year = 1998 and month = 5").withColumn("trip_distance", F.col("trip_distance") + 100)
+    table.publish(again, since=first)
+    table.commit(None, [p for p in table.current() if p.endswith("/year=1997/month=12")])
+    # What is staged but never committed is not seen.
+    table.stage(again)
+    table.compact_log()
+    states = [_per_month(table.read(SILVER, as_of)).withColumn("state", F.lit(name)) for name, as_of in (("first", first), ("now", None))]
+    return states[0].unionByName(states[1])
+
+
+def mart_republish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A datamart switched to a second build, beside the first one."""
+    mart = VersionedTable(spark, shared_folder(spark, "gold"))
+    trips, zones = derived.line_trips(spark, sf_dir), _zones(spark, sf_dir)
+    first = mart.publish(marts.od_matrix(trips.filter("service_type <> 'green'"), zones))
+    mart.publish(marts.od_matrix(trips, zones), since=first)
+    before = mart.read(as_of=first).withColumn("build", F.lit(1))
+    return mart.read().withColumn("build", F.lit(2)).unionByName(before)
+
+
+def forced_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and trips per service of a month written as three files."""
+    target = shared_folder(spark, "files")
+
+    def build(dataset: str) -> None:
+        build_silver([derived.raw_lines(spark, sf_dir, dataset)], dataset, MONTH, target, PEPPER, derived.LINE_BOUNDS, RULES, files=3)
+
+    in_parallel(spark, build, DATASETS, 3)
+    return _file_counts(read_silver(spark, target))
+
+
+def compacted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history cut into many files, then put together by size: one file a month up to 128 MB."""
+    table = silver_table(spark, shared_folder(spark, "small-files"))
+    table.publish(_history_trips(spark, sf_dir).repartition(16))
+    table.compact_files(SILVER)
+    files = table.read(SILVER).select("*", F.input_file_name().alias("file"))
+    return files.groupBy("service_type", "year", "month").agg(
+        F.count_distinct("file").alias("nb_files"),
+        F.count(F.lit(1)).alias(TRIPS),
+        F.sum("trip_distance").alias("distance_total"),
+    )
+
+
+def _file_counts(trips: DataFrame) -> DataFrame:
+    named = trips.select("service_type", F.input_file_name().alias("file"))
+    return named.groupBy("service_type").agg(F.count_distinct("file").alias("nb_files"), F.count(F.lit(1)).alias(TRIPS))
+
+
+def backfill_gate_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule results of a bulk build by month, an empty month included, and what was published."""
+    target = shared_folder(spark, "gated")
+    months = [(year, month) for year in range(1997, 1999) for month in range(1, 13)]
+    span = Span(parse_period("1997-01"), parse_period("1999-01"))
+    rules = (RowCount(0), Compare("trip_distance", ">", 0), Completeness("payment_type", 0.95))
+
+    def build(dataset: str) -> list[tuple]:
+        raw = derived.raw_lines(spark, sf_dir, dataset)
+        rows = build_silver_months(
+            [raw], dataset, span, months, target, PEPPER, derived.LINE_BOUNDS, rules, write=write_gated_versions
+        )
+        return [(dataset, *row) for row in rows]
+
+    reports = [row for rows in in_parallel(spark, build, DATASETS, 3) for row in rows]
+    report = spark.createDataFrame(
+        reports, "service_type string, year int, month int, rule string, actual double, outcome string"
+    )
+    published = read_silver(spark, target).groupBy("service_type", "year", "month").agg(F.count(F.lit(1)).alias(TRIPS))
+    return report.join(published, ["service_type", "year", "month"], "left")
+
+
+def quality_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reject counts of every month, the rows kept held against the months before."""
+    rules = validity(None, derived.LINE_BOUNDS)
+    counts = None
+    for dataset in DATASETS:
+        own = rejects_by_month(_aligned(spark, sf_dir, dataset), rules).withColumn("service_type", F.lit(dataset))
+        counts = own if counts is None else counts.unionByName(own)
+    period = F.format_string("%04d-%02d", "year", "month")
+    keyed = counts.withColumn("period", period).select("service_type", "period", "predicate", "nb_rows")
+    return against_history(keyed, ("service_type", "predicate"), "period", "nb_rows", least=0.9)
+
+
+def _landing_zone(spark: SparkSession, sf_dir: str, late: bool) -> str:
+    """Raw months of all services; with ``late``, every fourth line of an order comes a year later."""
+    root = shared_folder(spark, "raw")
+
+    def put(dataset: str) -> None:
+        trips = derived.raw_lines(spark, sf_dir, dataset)
+        pickup = F.col(SHAPES[dataset].raw_name("pickup_datetime"))
+        months = F.when((F.col("trip_miles" if dataset == "fhvhv" else "trip_distance") % 4 == 0) & F.lit(late), 12).otherwise(0)
+        day = F.add_months(F.to_date(pickup), months)
+        trips.withColumns({"year": F.year(day), "month": F.date_format(day, "MM")}).repartition("year", "month").write.partitionBy(
+            "year", "month"
+        ).parquet(f"{root}/{dataset}")
+
+    in_parallel(spark, put, DATASETS, 3)
+    return root
+
+
+def raw_manifest_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files known, files read for one month, and the month's trips, some delivered a year late."""
+    root = _landing_zone(spark, sf_dir, late=True)
+
+    def one(dataset: str) -> DataFrame:
+        manifest = f"{root}/_manifest"
+        frames = scan_landed(spark, root, manifest, dataset, MONTH)
+        known = entries(spark, root, manifest, dataset).count()
+        read = sum(len(frame.inputFiles()) for frame in frames)
+        rules = validity(MONTH, derived.LINE_BOUNDS)
+        trips = keep_valid(union_aligned([align(frame, dataset) for frame in frames]), rules)
+        return trips.agg(
+            F.lit(dataset).alias("dataset"),
+            F.lit(known).cast("bigint").alias("nb_files"),
+            F.lit(read).cast("bigint").alias("nb_read"),
+            F.count(F.lit(1)).alias(TRIPS),
+            F.sum("trip_distance").alias("distance_total"),
+        )
+
+    return reduce(DataFrame.unionByName, in_parallel(spark, one, DATASETS, 3))
+
+
+def _deliver(spark: SparkSession, sf_dir: str, root: str, months: list[str]) -> None:
+    """The whole history of every service, dealt over the files of a few months."""
+
+    def put(dataset: str) -> None:
+        trips = derived.raw_lines(spark, sf_dir, dataset)
+        pickup = F.col(SHAPES[dataset].raw_name("pickup_datetime"))
+        for i, month in enumerate(months):
+            own = trips.filter(F.month(pickup) % len(months) == i)
+            own.write.parquet(f"{root}/{FILE_PREFIX[dataset]}_{month}.parquet")
+
+    in_parallel(spark, put, DATASETS, 3)
+
+
+def land_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landings of two months: the first time, again, and again after one source changed."""
+    source, root = shared_folder(spark, "source"), shared_folder(spark, "lake")
+    months = ["1998-04", "1998-05"]
+    _deliver(spark, sf_dir, source, months)
+    plan = spark.createDataFrame([(d, m) for d in DATASETS for m in months], "dataset string, period string")
+    found = []
+
+    def go(turn: int, refresh: bool = False) -> None:
+        for x in land(spark, plan, source, f"{root}/bronze", manifest=f"{root}/manifest", ledger=f"{root}/ledger", refresh=refresh):
+            found.append((turn, x.dataset, x.period, x.detail, x.changed))
+
+    go(1)
+    go(2)
+    raw = derived.raw_lines(spark, sf_dir, "green")
+    raw.filter("trip_distance <= 10").write.mode("overwrite").parquet(f"{source}/{FILE_PREFIX['green']}_1998-05.parquet")
+    go(3)
+    go(4, refresh=True)
+    turns = spark.createDataFrame(found, "turn int, dataset string, period string, detail string, changed boolean")
+    rows = last_landings(spark, f"{root}/ledger").select("dataset", "period", "nb_rows")
+    return turns.join(rows, ["dataset", "period"])
+
+
+def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source files to datamart by the run itself: plan, land, clean, judge, publish."""
+    conf, before = spark.conf, spark.conf.get(PEPPER_SETTING, None)
+    conf.set(PEPPER_SETTING, PEPPER)
+    try:
+        lake = _run_lake(spark, sf_dir)
+        run(spark, lake, date(1998, 8, 20), whole_backlog=True)
+    finally:
+        conf.set(PEPPER_SETTING, before) if before is not None else conf.unset(PEPPER_SETTING)
+        prepare(spark)
+    return read_mart(spark, lake, "od_matrix")
+
+
+def _run_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    source, root = shared_folder(spark, "source"), shared_folder(spark, "lake")
+    months = ["1998-04", "1998-05", "1998-06"]
+    _deliver(spark, sf_dir, source, months)
+    zones_csv = f"{source}/zones"
+    _write_zones(spark, sf_dir, zones_csv)
+    return Lake(
+        source=source,
+        root=root,
+        zones_csv=zones_csv,
+        first_period=months[0],
+        bounds=derived.LINE_BOUNDS,
+        rules=RULES,
+        marts=("od_matrix", "service_comparison"),
+        versioned=True,
+        catalog=None,
+    )
+
+
+def _write_zones(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The zones as CSV with other column order, case and quoting."""
+    derived.zones(spark, sf_dir).select(
+        F.col("zone").alias("Zone"), F.col("locationid").alias("LocationID"), F.col("borough").alias("Borough")
+    ).write.option("header", True).option("quoteAll", True).csv(path)
+
+
+def zones_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "zones")
+    _write_zones(spark, sf_dir, path)
+    return read_zones(spark, path)
+
+
+def marts_from_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Datamarts named by a list, built in one call: their cells and trips."""
+    root = shared_folder(spark, "gold")
+    names = ["od_matrix", "service_comparison"]
+    build_marts(spark, derived.line_trips(spark, sf_dir), _zones(spark, sf_dir), root, names)
+    parts = [
+        spark.read.parquet(f"{root}/{name}").agg(
+            F.lit(name).alias("mart"), F.count(F.lit(1)).alias("nb_cells"), F.sum(TRIPS).alias(TRIPS)
+        )
+        for name in names
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def unified_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = _silver_history(spark, sf_dir)
     publish_view(unified_trips(spark, target))
@@ -229,7 +470,6 @@ def unified_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT service_type, year, payment_type, count(*) AS nb_courses,
                sum(trip_duration_sec) AS duree_total_sec
         FROM gold_trips_unified
-        WHERE service_type IN ('yellow', 'fhvhv')
         GROUP BY service_type, year, payment_type
         """
     )
@@ -249,8 +489,7 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     replace_unified_view(spark, "tripmart_silver", "tripmart_unified")
     return (
         spark.table("tripmart_unified")
-        .filter("service_type = 'green'")
-        .groupBy("year", "month")
+        .groupBy("service_type", "year", "month")
         .agg(F.count(F.lit(1)).alias(TRIPS), F.sum("trip_distance").alias("distance_total"))
     )
 
@@ -258,20 +497,21 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw months whose column types and name case changed over the years."""
     root = shared_folder(spark, "raw")
-    pickup = F.col("tpep_pickup_datetime")
-    trips = derived.raw_lines(spark, sf_dir, "yellow").withColumns(
-        {"year": F.year(pickup), "month": F.month(pickup)}
-    )
-    older = trips.filter("year < 1996").withColumn(
-        "passenger_count", F.col("passenger_count").cast("long")
-    )
-    newer = trips.filter("year >= 1996").withColumnRenamed("Airport_fee", "airport_fee")
-    for batch in (older, newer):
-        batch.hint("rebalance", "year", "month").write.mode("append").partitionBy(
-            "year", "month"
-        ).parquet(f"{root}/yellow")
-    aligned = union_aligned([align(part, "yellow") for part in scan_raw(spark, root, "yellow")])
-    return aligned.groupBy(F.year("pickup_datetime").alias("year")).agg(
+
+    def one(dataset: str) -> DataFrame:
+        pickup = F.col(SHAPES[dataset].raw_name("pickup_datetime"))
+        trips = derived.raw_lines(spark, sf_dir, dataset).withColumns({"year": F.year(pickup), "month": F.month(pickup)})
+        older = trips.filter("year < 1996")
+        if dataset != "fhvhv":
+            older = older.withColumn("passenger_count", F.col("passenger_count").cast("long"))
+        newer = trips.filter("year >= 1996").withColumnsRenamed({"Airport_fee": "airport_fee", "PULocationID": "pulocationid"})
+        for batch in (older, newer):
+            batch.hint("rebalance", "year", "month").write.mode("append").partitionBy("year", "month").parquet(f"{root}/{dataset}")
+        frames = scan_landed(spark, root, f"{root}/_manifest", dataset)
+        return union_aligned([align(part, dataset) for part in frames])
+
+    aligned = reduce(DataFrame.unionByName, in_parallel(spark, one, DATASETS, 3))
+    return aligned.groupBy("service_type", F.year("pickup_datetime").alias("year")).agg(
         F.count(F.lit(1)).alias(TRIPS),
         F.sum("passenger_count").alias("passengers"),
         F.count("airport_fee").alias("nb_airport_fee"),
@@ -283,10 +523,21 @@ def backfill_od_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = unified_trips(spark, _silver_history(spark, sf_dir))
     target = shared_folder(spark, "gold")
     materialise(marts.od_matrix(trips, _zones(spark, sf_dir)), target)
-    # Sums of doubles depend on the order of arrival in their last bits; the
-    # total has four decimals, so rounding there is stable, a mean's is not.
-    total = F.round(F.col("revenu_moy") * F.col(TRIPS), 4)
-    return spark.read.parquet(target).withColumn("revenu_total", total).drop("revenu_moy")
+    return spark.read.parquet(target)
+
+
+def silver_revenue_zone_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = unified_trips(spark, _silver_history(spark, sf_dir))
+    return marts.revenue_by_zone_hour(trips, _zones(spark, sf_dir))
+
+
+def silver_service_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = unified_trips(spark, _silver_history(spark, sf_dir))
+    return marts.service_comparison(trips, _zones(spark, sf_dir))
+
+
+def silver_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.demand_timeseries(unified_trips(spark, _silver_history(spark, sf_dir)))
 
 
 # -- datamarts ----------------------------------------------------------------
@@ -351,9 +602,7 @@ def k_suppressed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    money = {c: F.col(c).cast("decimal(18,4)") for c in ("revenu_total", "tip_total")}
-    mart = mart_revenue_zone_hour(spark, sf_dir).withColumns(money)
-    return marts.roll_up_revenue(mart, "service_type", "borough", "heure")
+    return marts.roll_up_revenue(mart_revenue_zone_hour(spark, sf_dir), "service_type", "borough", "heure")
 
 
 def zone_left_unmapped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -403,6 +652,31 @@ def next_period_none(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _gappy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events without those of two months: gaps that nobody has tried."""
+    events = derived.registry_events(spark, sf_dir)
+    gap = ((F.col("dataset") == "yellow") & (F.col("period") == "1996-03")) | (
+        (F.col("dataset") == "fhvhv") & F.col("period").isin("1997-11", "1997-12")
+    )
+    return events.where(~gap)
+
+
+def next_period_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = planning.registry_state(_gappy_events(spark, sf_dir))
+    return planning.next_missing(_datasets(spark, sf_dir), state, _as_of(), START, LAG)
+
+
+def registry_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state from a log of repeated and older events, after it was compacted."""
+    path = shared_folder(spark, "registry")
+    events = derived.registry_events(spark, sf_dir)
+    older = events.withColumns({"at": F.col("at") - F.expr("interval 1 hour"), "status": F.lit("FAILED")})
+    for batch in (events, older, events):
+        append_rows(batch, path)
+    compact_events(spark, path, keep_seconds=-1)
+    return _plain_times(planning.registry_state(read_events(spark, path)))
+
+
 def backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planning.backlog(
         _datasets(spark, sf_dir), _state(spark, sf_dir), _as_of(), START, LAG
@@ -477,8 +751,7 @@ def serve_od_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_zone_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    answer = serve.zone_revenue(mart_revenue_zone_hour(spark, sf_dir), "NATION_6")
-    return answer.withColumn("revenu", F.round("revenu", 4))
+    return serve.zone_revenue(mart_revenue_zone_hour(spark, sf_dir), "NATION_6")
 
 
 def check_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -508,6 +781,20 @@ _ALL = (
     catalog_tables,
     raw_schema_drift,
     backfill_od_matrix,
+    silver_revenue_zone_hour,
+    silver_service_comparison,
+    silver_demand,
+    raw_manifest_prune,
+    versioned_overwrite,
+    mart_republish,
+    forced_files,
+    compacted_files,
+    backfill_gate_by_month,
+    quality_history,
+    land_twice,
+    pipeline_run,
+    zones_csv,
+    marts_from_config,
     mart_revenue_zone_hour,
     mart_service_comparison,
     mart_demand,
@@ -523,6 +810,8 @@ _ALL = (
     last_done,
     next_period,
     next_period_none,
+    next_period_gap,
+    registry_compacted,
     backlog,
     landing_plan,
     landing_paths,

@@ -35,6 +35,12 @@ def forget_parts(
             )
 
 
+def _same_types(spark: SparkSession, path: str, name: str) -> bool:
+    wanted = PARTS[name](spark.createDataFrame([], SILVER).select(*UNIFIED)).schema
+    have = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}
+    return all(have.get(f.name) == f.dataType for f in wanted.fields)
+
+
 def refresh_parts(spark: SparkSession, silver: str, root: str) -> dict[str, DataFrame]:
     """Compute the parts of every silver month that has none, in one job each."""
     months = set(Folder(spark, silver).glob(_MONTHS))
@@ -42,6 +48,11 @@ def refresh_parts(spark: SparkSession, silver: str, root: str) -> dict[str, Data
     def fill(name: str) -> None:
         folder = Folder(spark, f"{root}/{name}")
         have = set(folder.glob(_MONTHS))
+        if have and not _same_types(spark, folder.path, name):
+            # Written by an earlier release with other types: all are computed anew.
+            for month in have:
+                folder.delete(month)
+            have = set()
         for gone in have - months:
             folder.delete(gone)
         missing = sorted(months - have)

@@ -17,7 +17,7 @@ from tripmart.operators.planning import (
     FIRST_PERIOD,
     LAG_MONTHS,
     backlog,
-    next_periods,
+    next_missing,
     registry_state,
 )
 from tripmart.operators.quality import SILVER_RULES, Rule
@@ -94,13 +94,13 @@ def plan_run(
     datasets: Iterable[str] = DATASETS,
     whole_backlog: bool = False,
 ) -> DataFrame:
-    """(dataset, period) still to do: the next month each, or all of them."""
+    """(dataset, period) still to do: the first missing month each, or all of them."""
     state = registry_state(read_events(spark, lake.table("registry")))
     wanted, day = dataset_frame(spark, datasets), F.lit(as_of)
     if whole_backlog:
         planned = backlog(wanted, state, day, lake.first_period, lake.lag_months)
     else:
-        planned = next_periods(
+        planned = next_missing(
             wanted, state, day, lake.first_period, lake.lag_months
         ).filter("hasWork")
     return planned.select("dataset", "period")

@@ -17,6 +17,7 @@ import json
 import time
 import uuid
 from collections.abc import Iterable
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,6 +140,53 @@ class VersionedTable:
 
     # -- upkeep ---------------------------------------------------------------
 
+    def files(self) -> dict[str, list[int]]:
+        """Bytes of the data files of each current partition."""
+        pattern = "/".join(["version=*", *([self._depth] if self.partitions else []), "*.parquet"])
+        own = {self.folder(version, part): part for part, (version, _) in self.current().items()}
+        out: dict[str, list[int]] = {part: [] for part in own.values()}
+        for name, size in Folder(self.spark, self.root).sizes(pattern):
+            part = own.get(f"{self.root}/{name.rsplit('/', 1)[0]}")
+            if part is not None:
+                out[part].append(size)
+        return out
+
+    def compact_files(self, schema: T.StructType, file_bytes: int = 128 << 20) -> dict[str, int]:
+        """Rewrite partitions cut into more files than their bytes need; returns their new file counts.
+
+        The number of files follows from the bytes on disk. Rows of a partition
+        are dealt evenly over its files; other partitions are not read. The
+        rewritten ones become current by one commit, unless others replaced them.
+        """
+        since, wanted = self.head(), {}
+        for part, sizes in self.files().items():
+            need = max(1, -(-sum(sizes) // file_bytes))
+            if len(sizes) > need:
+                wanted[part] = need
+        if not wanted:
+            return {}
+        own = self.current(since)
+        rows = (
+            self.spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.StringType())]))
+            .option("basePath", self.root)
+            .parquet(*[self.folder(own[part][0], part) for part in wanted])
+            .drop("version")
+        )
+        name = F.concat_ws("/", *[F.concat(F.lit(f"{p}="), F.col(p).cast("string")) for p in self.partitions])
+        ends = list(accumulate(wanted.values(), initial=0))
+        rows_of = [(part, n, first) for (part, n), first in zip(wanted.items(), ends)]
+        files = self.spark.createDataFrame(rows_of, "part_ string, files_ bigint, first_ bigint")
+        dealt = (
+            rows.withColumn("part_", name)
+            .join(files, "part_")
+            .withColumn("slot_", (F.col("first_") + F.pmod(F.monotonically_increasing_id(), F.col("files_"))).cast("int"))
+            .repartitionById(ends[-1], F.col("slot_"))
+            .drop("part_", "files_", "first_", "slot_")
+        )
+        sources = {part: source for part, (_, source) in own.items()}
+        self.commit(self.stage(dealt), wanted, since, sources)
+        return wanted
+
     def compact_log(self, keep_seconds: float = 3600) -> None:
         """Write the state as one snapshot; drop commit files older than that and than ``keep_seconds``.
 
