@@ -55,36 +55,64 @@ def ratio(numerator: Column, denominator: Column, scale: float = 1.0) -> Column:
     return F.try_divide(numerator, denominator) * F.lit(scale)
 
 
-def lower_median(counted: DataFrame, keys: tuple[str, ...], value: str, n: str) -> DataFrame:
-    """``keys`` and ``median`` from (keys, value, n) lines, n times a value each.
+# Buckets of a value's size: 64 to a doubling, so each spans about one per cent.
+_PER_DOUBLING, _OFFSET = 64, 100_000
+
+
+def size_bucket(value: Column) -> Column:
+    """A whole number that never falls as the value grows, whatever its sign and scale."""
+    size = F.floor(F.log2(F.abs(value)) * _PER_DOUBLING) + _OFFSET
+    return F.when(value > 0, size).when(value < 0, -size).when(value == 0, 0).cast("int")
+
+
+def lower_median(
+    counted: DataFrame, keys: tuple[str, ...], value: str, n: str, sums: tuple[str, ...] = ()
+) -> DataFrame:
+    """``keys``, ``median``, ``n`` and ``sums`` from (keys, value, n, sums) lines, n times a value each.
 
     The value at rank ceil(total / 2): exact, and the same for any split of the
-    lines, so monthly counts can be added. A window never holds all distinct
-    values of a group: the whole units are ranked first, then only the values
-    inside the unit that holds the median.
+    lines, so monthly counts can be added. One aggregation by size of the value
+    gives the totals of each group and the bucket that holds the middle rank;
+    only the values of that bucket, about one per cent wide, are then ranked.
     """
-    unit = F.floor(F.col(value).cast("double"))
-    lines = counted.where(F.col(value).isNotNull()).withColumn("_unit", unit)
+    # The join below needs a bucket; asking for it here gives both branches one plan.
+    lines = counted.withColumn("_bucket", size_bucket(F.col(value).cast("double"))).where("_bucket is not null")
     group = Window.partitionBy(*keys)
-    units = (
-        lines.groupBy(*keys, "_unit")
-        .agg(F.sum(n).alias("_in"))
-        .withColumn("_up_to", F.sum("_in").over(group.orderBy("_unit")))
-        .withColumn("_rank", F.ceil(F.sum("_in").over(group) / 2))
-        .where((F.col("_up_to") >= F.col("_rank")) & (F.col("_up_to") - F.col("_in") < F.col("_rank")))
-        .select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_unit").alias("_chosen"), (F.col("_rank") - F.col("_up_to") + F.col("_in")).alias("_left"))
+    added = [F.sum(c).alias(c) for c in (n, *sums)]
+    up_to = F.sum(n).over(group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
+    half = F.ceil(F.sum(n).over(group) / 2)
+    chosen = (
+        lines.groupBy(*keys, "_bucket")
+        .agg(*added)
+        .withColumns({"_up_to": up_to, "_rank": half, f"_{n}": F.sum(n).over(group)})
+        # Sums of all other buckets; those of the chosen one are added from its lines.
+        .withColumns({f"_{c}": F.sum(c).over(group) - F.coalesce(c, F.lit(0)) for c in sums})
+        .where((F.col("_up_to") >= F.col("_rank")) & (F.col("_up_to") - F.col(n) < F.col("_rank")))
+        .select(
+            *[F.col(k).alias(f"_key_{k}") for k in keys],
+            F.col("_bucket").alias("_chosen"),
+            (F.col("_rank") - F.col("_up_to") + F.col(n)).alias("_left"),
+            *[F.col(f"_{c}") for c in (n, *sums)],
+        )
     )
-    same = F.col("_unit") == F.col("_chosen")
+    same = F.col("_bucket") == F.col("_chosen")
     for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    # One unit per group is left: a small table, joined to the counted lines.
-    inside = lines.join(units, same).groupBy(*keys, value, "_left").agg(F.sum(n).alias("_n"))
-    up_to = F.sum("_n").over(group.orderBy(value))
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    # One bucket per group is left: a small table, joined to the lines.
+    carried = ["_left", *[f"_{c}" for c in (n, *sums)]]
+    # Both branches need the same columns of the lines, so that these are made once.
+    ranked = lines.join(chosen, same).groupBy(*keys, value, *carried).agg(*added)
+    reached = F.sum(n).over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    whole = {c: F.coalesce(F.sum(c).over(group) + F.col(f"_{c}"), F.col(f"_{c}")) for c in sums}
     return (
-        inside.withColumn("_up_to", up_to)
-        .where("_up_to >= _left")
-        .groupBy(*keys)
-        .agg(F.min(value).cast("double").alias("median"))
+        ranked.withColumns({"_up_to": reached, **{f"_all_{c}": column for c, column in whole.items()}})
+        .where((F.col("_up_to") >= F.col("_left")) & (F.col("_up_to") - F.col(n) < F.col("_left")))
+        .select(
+            *keys,
+            F.col(value).cast("double").alias("median"),
+            F.col(f"_{n}").alias(n),
+            *[F.col(f"_all_{c}").alias(c) for c in sums],
+        )
     )
 
 

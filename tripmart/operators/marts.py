@@ -140,21 +140,15 @@ def service_comparison(trips: DataFrame, zones: Zones, k: int = MIN_CELL) -> Dat
         .groupBy("service_type", "pu_location_id", F.col("total_amount").alias("price"))
         .agg(_count(False), *_added(trips, SERVICE_SUMS))
     )
-    place = {"pu_location_id": {"borough": "borough"}}
-    service = {"service_type": F.col("service_type")}
-    sums = sums_by_place(lines, zones, place, service, SERVICE_SUMS, carried=True)
-    prices = lines.select("service_type", "pu_location_id", F.col("price").alias("total_amount"), TRIPS)
-    return service_mart(with_median(sums, prices, zones), k)
+    located = locate(lines, zones, "pu_location_id", borough="borough")
+    cells = lower_median(located, ("service_type", "borough"), "price", TRIPS, SERVICE_SUMS)
+    return service_mart(cells.withColumnRenamed("median", "panier_median"), k)
 
 
 def with_median(cells: DataFrame, prices: DataFrame, zones: Zones) -> DataFrame:
     """Service and borough cells with the median of (service, zone, price, trips) lines."""
-    counted = (
-        locate(prices, zones, "pu_location_id", borough="borough")
-        .groupBy("service_type", "borough", "total_amount")
-        .agg(F.sum(TRIPS).alias(TRIPS))
-    )
-    median = lower_median(counted, ("service_type", "borough"), "total_amount", TRIPS).select(
+    located = locate(prices, zones, "pu_location_id", borough="borough")
+    median = lower_median(located, ("service_type", "borough"), "total_amount", TRIPS).select(
         F.col("service_type").alias("_service"),
         F.col("borough").alias("_borough"),
         F.col("median").alias("panier_median"),
