@@ -417,3 +417,20 @@ def test_nested_containers_keep_the_whole_article(spark):
 
 def test_one_query_for_each_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+# What worker processes keep ---------------------------------------------------
+
+
+def test_a_process_holds_one_thing_at_a_time():
+    from tripmart.llm import shared
+
+    shared.let_go()
+    lexicon = {"bad": 1.0}
+    matcher = toxicity.matcher_of(lexicon)
+    assert toxicity.matcher_of(dict(lexicon)) is matcher and len(shared._held) == 1
+    encoder = pieces.encoder_of(pieces.load_vocabulary(pieces.MODEL))
+    assert list(shared._held.values()) == [encoder]
+    assert toxicity.matcher_of(lexicon) is not matcher
+    shared.let_go()
+    assert not shared._held

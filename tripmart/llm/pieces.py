@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.llm.shared import held
+
 MARK = "▁"
 #: Default place of the public vocabulary; a parameter of the operators.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -192,16 +194,10 @@ class Encoder:
         return "".join(out).replace(MARK, " ")[1:]
 
 
-_encoders: dict[tuple, Encoder] = {}
-
-
 def encoder_of(vocabulary: dict, unigram: bool = False) -> Encoder:
     """The encoder of this process, with the words it has met in earlier tasks."""
-    key = (hash(tuple(vocabulary["pieces"])), hash(tuple(vocabulary["scores"])), unigram)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(vocabulary, unigram)
-    return _encoders[key]
+    key = ("pieces", hash(tuple(vocabulary["pieces"])), hash(tuple(vocabulary["scores"])), unigram)
+    return held(key, lambda: Encoder(vocabulary, unigram))
 
 
 def _encode(vocabulary, unigram: bool):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -44,6 +44,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_held: dict[tuple, object] = {}
+
+
+def held(key: tuple, make: Callable[[], object]):
+    """What an operator keeps in a worker process between its tasks.
+
+    One thing at a time: a process that goes on to another operator, or to
+    another model, lets go of what it held before.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def let_go() -> None:
+    """Tasks that keep nothing drop what earlier ones have left in their process."""
+    _held.clear()
+
+
 def byte_view(column: pa.Array):
     """Offsets and bytes of a string column as numpy views; null counts as empty."""
     import numpy as np

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.shared import small_side, stored
+from tripmart.llm.shared import held, small_side, stored
 
 #: Least log-likelihood ratio statistic of a term (about five standard errors, since
 #: hundreds of thousands of terms are tried), and least toxic texts with it.
@@ -276,16 +276,9 @@ class Matcher:
         ]
 
 
-_matchers: dict[int, Matcher] = {}
-
-
 def matcher_of(lexicon: dict[str, float]) -> Matcher:
     """The matcher of this process, with the words it has met in earlier tasks."""
-    key = hash(frozenset(lexicon.items()))
-    if key not in _matchers:
-        _matchers.clear()
-        _matchers[key] = Matcher(lexicon)
-    return _matchers[key]
+    return held(("toxicity", hash(frozenset(lexicon.items()))), lambda: Matcher(lexicon))
 
 
 def _measure(lexicon):
