@@ -17,6 +17,8 @@ _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _PLACE = np.array([0x8CB92BA72F3D8DD7, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+# Powers are made in these numbers; up to so many are kept for the next step.
+_GRAIN, _KEPT = 1 << 17, 9 << 18
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -31,13 +33,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2**64, at least n of each."""
-    size = 1 << max(10, int(n - 1).bit_length())
-    if size not in _powers:
+    size = max(1, -(-n // _GRAIN)) * _GRAIN
+    have = next(iter(_powers), 0)
+    if have >= n:
+        return _powers[have]
+    up, down = np.full(size, _BASE, np.uint64), np.full(size, _INVERSE, np.uint64)
+    up[0] = down[0] = 1
+    found = np.cumprod(up, out=up), np.cumprod(down, out=down)
+    if size <= _KEPT:
+        # Longer ones belong to one long text and go with it.
         _powers.clear()
-        up, down = np.full(size, _BASE, np.uint64), np.full(size, _INVERSE, np.uint64)
-        up[0] = down[0] = 1
-        _powers[size] = (np.cumprod(up), np.cumprod(down))
-    return _powers[size]
+        _powers[size] = found
+    return found
 
 
 def word_hashes(raw: np.ndarray, at: np.ndarray, blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
