@@ -270,6 +270,35 @@ def test_licences_inside_longer_lines(spark):
     assert {i for i, _ in got} == {0, 1, 2, 3}
 
 
+def test_licences_count_units_of_all_kinds(spark):
+    """A line that matches in part does not hide an exact notice inside another line."""
+    texts = [
+        "Released under the MIT License, xx.\nThis whole program was once released under the MIT License and is still so",
+        "// SPDX-License-Identifier: BSD-3-Clause\nint main;", "spdx license, other identifier", "x " * 300_000 + "Released under the MIT License",
+    ]
+    rows = licenses.find_licenses(docs_of(spark, texts)).collect()
+    got = {(r["doc_id"], r["license"]): (r["dice"], r["n_units"]) for r in rows}
+    # Of the second: the line, the whole text (5 bigrams of 7) and the window from its second word (4 of 5).
+    assert got == {(0, "MIT"): (1.0, 2), (1, "BSD-3-Clause-spdx"): (1.0, 3), (3, "MIT"): (1.0, 1)}
+
+
+def test_licence_prefilter_loses_nothing(spark, monkeypatch):
+    """All notices with words dropped or added, with and without the first pattern."""
+    draw = random.Random(3)
+    texts = []
+    for _, notice in licenses.TEMPLATES:
+        for i in range(8):
+            own = notice.split()
+            for _ in range(i % 4):
+                at = draw.randrange(len(own))
+                own[at : at + 1] = draw.choice([[], [own[at], "added"]])
+            texts.append("before it, " * (i % 2) + (" " if i % 3 else "\n").join(own) + " behind it" * (i % 2))
+    docs = docs_of(spark, texts)
+    with_it = sorted(rows_of(licenses.find_licenses(docs)))
+    monkeypatch.setattr(licenses, "_telling", lambda known, low: "")
+    assert with_it == sorted(rows_of(licenses.find_licenses(docs))) and len(with_it) > len(texts) // 2
+
+
 # Leaks --------------------------------------------------------------------
 
 

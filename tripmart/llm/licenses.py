@@ -1,26 +1,34 @@
 """Licence notices by the Dice coefficient over word bigrams, in DataFrame functions only.
 
-A text's units are its lines, its paragraphs of several lines and the whole
-text. For licences that none of them shows, its sentences and the windows of a
-template's number of words count as well, so a notice is also found inside a
-longer line. Only windows that begin with a template's bigram and hold as many of
-its bigrams as a match needs are formed. Units are lower-cased and reduced to words of a-z and 0-9; their distinct
-word bigrams are compared with those of licence templates. Two sets of sizes a
-and b can reach a coefficient of t only if b * t / (2 - t) <= a <= b * (2 - t) / t,
-so units outside the bounds of all templates are dropped before bigrams are
-formed, and templates outside a unit's bounds before bigrams are counted.
+A text's units are its lines, its paragraphs of several lines, its sentences, the
+whole text, and windows of each template's number of words, so a notice is also
+found inside a longer line. Windows begin with a template's bigram and hold as
+many of its bigrams as a match needs. All units count alike. They are lower-cased
+and reduced to words of a-z and 0-9; their distinct word bigrams are compared
+with those of licence templates. Two sets of sizes a and b can reach a
+coefficient of t only if b * t / (2 - t) <= a <= b * (2 - t) / t, so units outside
+the bounds of all templates are dropped before bigrams are formed, and templates
+outside a unit's bounds before bigrams are counted.
+
+Texts that cannot hold a match go first. A match has at least b * t / (2 - t) of
+a template's b bigrams, so it has one of any b - ceil(b * t / (2 - t)) + 1 of them.
+One pattern looks for these bigrams, the longest of each template, in every
+whole text; only texts with one of them are cut into units.
 
 Defined results: null and empty texts have no unit and no row, a text of one
-word has no bigram and no row; repeated units count once, repeated rows of a
-doc_id as one document; further columns are ignored. A null doc_id is a
-document of its own.
+word has no bigram and no row; units of equal words count once, repeated rows of a
+doc_id as one document; further columns are ignored; an empty table gives no
+row. A null doc_id is a document of its own. Long texts are handled whole; one
+text's units stay in one row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmart.llm.shared import stored
+
 #: Least coefficient of a match.
 LEAST = 0.8
 
@@ -68,7 +76,18 @@ TEMPLATES = (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met:",
     ),
+    ("Apache-2.0-spdx", "SPDX-License-Identifier: Apache-2.0"),
+    ("BSD-2-Clause-spdx", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("BSD-3-Clause-spdx", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("GPL-2.0-spdx", "SPDX-License-Identifier: GPL-2.0"),
+    ("GPL-3.0-spdx", "SPDX-License-Identifier: GPL-3.0"),
+    ("ISC-spdx", "SPDX-License-Identifier: ISC"),
+    ("LGPL-3.0-spdx", "SPDX-License-Identifier: LGPL-3.0"),
+    ("MIT-spdx", "SPDX-License-Identifier: MIT"),
+    ("MPL-2.0-spdx", "SPDX-License-Identifier: MPL-2.0"),
 )
+#: Ends of sentences, with the white space after them.
+_SENTENCE_END = "[.!?;][\\t-\\r ]+"
 
 
 def _words(column):
@@ -93,61 +112,72 @@ def _bigrams(words):
 def template_bigrams(spark, templates=TEMPLATES) -> DataFrame:
     """license, size (number of distinct bigrams) and bigram of all templates."""
     rows = spark.createDataFrame(list(templates), "license string, notice string")
-    words = _words(F.regexp_replace(F.lower("notice"), "[^a-z0-9]+", " "))
+    words = _words(_reduced("notice"))
     return rows.select("license", _bigrams(words).alias("bigrams")).select(
         "license", F.size("bigrams").alias("size"), F.explode("bigrams").alias("bigram")
     )
 
 
+def _needed(size, low):
+    return F.ceil(size * low - 1e-9).cast("int")
+
+
+def _telling(known: DataFrame, low: float) -> str:
+    """A pattern that every lower-cased text with a match contains."""
+    # The longest bigrams are the rarest as a rule; any choice of as many is right.
+    placed = known.withColumn(
+        "place", F.row_number().over(Window.partitionBy("license").orderBy(F.desc(F.length("bigram")), "bigram"))
+    )
+    rows = placed.where(F.col("place") <= F.col("size") - _needed(F.col("size"), low) + 1).select("bigram").distinct()
+    pairs = sorted(r["bigram"].replace(" ", "[^a-z0-9]++") for r in rows.collect())
+    return "(?<![a-z0-9])(?:" + "|".join(pairs) + ")(?![a-z0-9])"
+
+
 def find_licenses(docs: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
-    """doc_id, license, dice (of the best unit) and n_units for every notice found in ``docs``."""
+    """doc_id, license, dice (of the best unit) and n_units (matching units) for every notice found in ``docs``."""
     spark = docs.sparkSession
     known = template_bigrams(spark, templates)  # as many rows as the templates have bigrams
     sizes = [r["size"] for r in known.select("size").distinct().collect()]
     low = least / (2 - least)
-    clean = F.regexp_replace(F.lower(F.col("text").cast("string")), "[^a-z0-9\n]+", " ")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    cleaned = rows.select("doc_id", clean.alias("clean"))
-    units = cleaned.select(
+    rows = stored(rows.where(F.lower("text").rlike(_telling(known, low))), "licenses-texts")
+    units = _units(rows).unionAll(_windows(rows, known, templates, low))
+    found = _dice(units, known, sizes, least)
+    return found.groupBy("doc_id", "license").agg(F.max("dice").alias("dice"), F.count("*").alias("n_units"))
+
+
+def _reduced(column):
+    return F.regexp_replace(F.lower(column), "[^a-z0-9]+", " ")
+
+
+def _units(rows: DataFrame) -> DataFrame:
+    """doc_id and unit: lines, paragraphs, sentences and the whole of the texts (doc_id, text)."""
+    clean = F.regexp_replace(F.lower("text"), "[^a-z0-9\n]+", " ")
+    return rows.select("doc_id", "text", clean.alias("clean")).select(
         "doc_id",
         F.explode(
             F.array_distinct(
                 F.concat(
                     F.split("clean", "\n"),
                     F.transform(F.split("clean", "\n *\n"), lambda p: F.replace(p, F.lit("\n"), F.lit(" "))),
+                    F.transform(F.split(F.lower("text"), _SENTENCE_END), _reduced),
                     F.array(F.replace("clean", F.lit("\n"), F.lit(" "))),
                 )
             )
         ).alias("unit"),
     )
-    inner = _inner_units(rows, known, templates, low)
-    both = _dice(units, known, sizes, least).withColumn("whole", F.lit(True)).unionAll(
-        _dice(inner, known, sizes, least).withColumn("whole", F.lit(False))
-    )
-    found = both.groupBy("doc_id", "license").agg(
-        F.max(F.when(F.col("whole"), F.col("dice"))).alias("dice_"),
-        F.max("dice").alias("dice"),
-        F.count(F.when(F.col("whole"), 1)).alias("n_"),
-        F.count("*").alias("n_units"),
-    )
-    return found.select(
-        "doc_id",
-        "license",
-        F.coalesce("dice_", "dice").alias("dice"),
-        F.when(F.col("n_") > 0, F.col("n_")).otherwise(F.col("n_units")).alias("n_units"),
-    )
 
 
-def _inner_units(rows: DataFrame, known: DataFrame, templates, low: float) -> DataFrame:
-    """doc_id and unit: sentences and windows of the texts (doc_id, text) that may hold a notice."""
+def _windows(rows: DataFrame, known: DataFrame, templates, low: float) -> DataFrame:
+    """doc_id and unit: windows of the texts (doc_id, text) that may hold a notice."""
     spark = rows.sparkSession
     lengths = spark.createDataFrame(list(templates), "license string, notice string").select(
-        "license", F.size(_words(F.regexp_replace(F.lower("notice"), "[^a-z0-9]+", " "))).alias("n_words")
+        "license", F.size(_words(_reduced("notice"))).alias("n_words")
     )
     # Bigrams a match has in common with its template at least.
-    needs = known.join(F.broadcast(lengths), "license").withColumn("needed", F.ceil(F.col("size") * low - 1e-9).cast("int"))
-    texts = rows.where("text is not null").withColumn("text_", F.xxhash64("text"))
-    words = _words(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "))
+    needs = known.join(F.broadcast(lengths), "license").withColumn("needed", _needed(F.col("size"), low))
+    texts = rows.withColumn("text_", F.xxhash64("text"))
+    words = _words(_reduced("text"))
     pairs = texts.select("doc_id", "text_", words.alias("words")).select(
         "doc_id", "text_", F.posexplode(_pairs(F.col("words"))).alias("place", "bigram")
     )
@@ -163,12 +193,14 @@ def _inner_units(rows: DataFrame, known: DataFrame, templates, low: float) -> Da
     windows = windows.groupBy("doc_id", "text_").agg(F.collect_list(F.struct("start", "n_words")).alias("windows"))
     near = windows.withColumnRenamed("doc_id", "doc_id_").withColumnRenamed("text_", "hash_")
     holding = texts.join(near, texts.doc_id.eqNullSafe(near.doc_id_) & (texts.text_ == near.hash_))
-    inside = holding.select(
+    # At a text's end windows move back to keep their length: a tail of a notice is no unit of its own.
+    last = F.size("words")
+    inside = holding.select("doc_id", "windows", words.alias("words")).select(
         "doc_id",
-        F.concat(
-            F.transform("windows", lambda w: F.concat_ws(" ", F.slice(words, w["start"] + 1, w["n_words"]))),
-            F.transform(
-                F.split("text", r"(?<=[.!?;])\s+"), lambda s: F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")
+        F.transform(
+            "windows",
+            lambda w: F.concat_ws(
+                " ", F.slice("words", F.greatest(F.lit(0), F.least(w["start"], last - w["n_words"])) + 1, w["n_words"])
             ),
         ).alias("inside"),
     )

@@ -6,6 +6,8 @@ from tripmart.llm.licenses import LEAST, TEMPLATES
 
 _TEMPLATES = ", ".join(f"('{name}', '{notice}')" for name, notice in TEMPLATES)
 
+LOW = LEAST / (2 - LEAST)
+
 _LICENSES = f"""
 WITH template AS (
     SELECT license, list_filter(string_split(regexp_replace(lower(notice), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> '') AS w
@@ -22,8 +24,24 @@ WITH template AS (
         list_transform(string_split_regex(clean, '\\n *\\n'), lambda p: replace(p, chr(10), ' ')),
         [replace(clean, chr(10), ' ')]))) AS unit
     FROM clean
+    UNION ALL
+    SELECT doc_id, unnest(list_transform(string_split_regex(lower(text), '[.!?;][\\t-\\r ]+'), lambda s: regexp_replace(s, '[^a-z0-9]+', ' ', 'g')))
+    FROM documents WHERE text IS NOT NULL
+), whole AS (
+    SELECT doc_id, list_filter(string_split(replace(clean, chr(10), ' '), ' '), lambda w: w <> '') AS w FROM clean
+), placed AS (
+    SELECT doc_id, i AS place, w[i] || ' ' || w[i + 1] AS bigram FROM whole, unnest(range(1, len(w))) AS r(i)
+), hit AS (
+    SELECT doc_id, license, place, len(w) AS n_words, lead(place, (ceil(size * {LOW} - 1e-9) - 1)::BIGINT)
+        OVER (PARTITION BY doc_id, license ORDER BY place) AS enough
+    FROM placed JOIN template_bigram USING (bigram) JOIN template_size USING (license) JOIN template USING (license)
+), inner_unit AS (
+    SELECT doc_id, whole.w[greatest(1, least(place, len(whole.w) - n_words + 1)) :][: n_words] AS w
+    FROM hit JOIN whole USING (doc_id) WHERE enough <= place + n_words - 2
 ), word AS (
     SELECT DISTINCT doc_id, list_filter(string_split(unit, ' '), lambda w: w <> '') AS w FROM unit
+    UNION
+    SELECT doc_id, w FROM inner_unit
 ), gram AS (
     SELECT doc_id, w AS unit, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
     FROM word WHERE len(w) > 1
