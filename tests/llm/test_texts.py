@@ -289,7 +289,7 @@ def test_licence_prefilter_loses_nothing(spark, monkeypatch):
     for _, notice in licenses.TEMPLATES:
         for i in range(8):
             own = notice.split()
-            for _ in range(i % 4):
+            for _ in range(min(i % 4, len(own) - 1)):
                 at = draw.randrange(len(own))
                 own[at : at + 1] = draw.choice([[], [own[at], "added"]])
             texts.append("before it, " * (i % 2) + (" " if i % 3 else "\n").join(own) + " behind it" * (i % 2))
@@ -357,6 +357,44 @@ def test_leaks_at_exactly_the_allowed_distance_and_short_items(spark):
     assert all(r["edits"] <= r["item_words"] // 5 for r in rows)
 
 
+def test_leaks_equal_a_search_of_all_stretches(spark):
+    """The query's rows against the edit table of every item over every whole text."""
+    sf_dir = str(SMALL)
+    rows = queries.QUERIES["op3_benchmark_decontamination"](spark, sf_dir).collect()
+    got = {(r["doc_id"], r["item_id"]): (r["edits"], r["item_words"]) for r in rows}
+    docs = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text").collect()
+    items = table(spark, sf_dir, "benchmark").where("text is not null").select("item_id", "text").collect()
+    texts, wanted = (decontam.words_of([r["text"] for r in rows]) for rows in (docs, items))
+    want = {}
+    for i, item in zip(items, wanted):
+        most = decontam.edits_allowed(len(item), decontam.ALLOWED)
+        for d, words in zip(docs, texts):
+            if len(item) and len(words):
+                edits, _ = decontam.edits_within(item, words, most)
+                if edits <= most:
+                    want[(d["doc_id"], i["item_id"])] = (edits, len(item))
+    assert got == want and want
+
+
+def test_walks_reach_the_target_recall():
+    """Items of every size with evenly spread edits, their worst case, meet a candidate window."""
+    draw = random.Random(11)
+    for n in (5, 6, 7, 9, 12, 15, 24, 37, 60, 150, 400):
+        met = 0
+        for trial in range(60):
+            item = [f"w{n}x{trial}x{j}" for j in range(n)]
+            most = decontam.edits_allowed(n, decontam.ALLOWED)
+            own = list(item)
+            for at in [(j + 1) * n // (most + 1) for j in range(most)]:
+                own[min(at, n - 1)] = "edited"
+            words = [f"before{j}" for j in range(draw.randrange(9))] + own + ["behind"]
+            index = decontam.build([(1, " ".join(item))])
+            row = decontam.words_of([" ".join(words)])[0]
+            met += len(decontam.search(row, np.array([0, len(row)]), index))
+        assert met >= 59
+    assert all(decontam.chance_of_a_run(run, decontam.sampled(run, walk, True)) > 0 for run in range(1, 9) for walk in range(4))
+
+
 def test_edits_equal_the_full_table():
     draw = np.random.default_rng(6)
     for _ in range(200):

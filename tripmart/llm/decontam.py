@@ -1,47 +1,63 @@
-"""Benchmark decontamination by intact pieces and edit verification.
+"""Benchmark decontamination by CGK embedding, bit-sampling LSH and edit verification.
 
 Texts and items are sequences of words (ASCII punctuation and white space
 separate, A-Z count as a-z).
 
-* An item of n words that may have k edits is cut into k + 1 pieces over all
-  of its length. Fewer pieces than k + 1 can be edited, so every stretch within
-  the allowed edits holds one of them unchanged: no match is without a
-  candidate, whatever its size and wherever its edits lie (recall 1). An item
-  that has to be exact is one piece.
-* All words of the texts are looked up in the pieces of each length. A hit gives
-  the place where its item would begin; nearby places share one window.
+* The CGK walk writes the current word at every step and then stays or moves on
+  by a random bit of word and step. Equal sequences write the same, and sequences
+  of small edit distance differ in few steps: edit distance becomes Hamming
+  distance. Walks begin at every word of a text and at every word of an item, so
+  a change near an item's beginning does not spoil the walks behind it.
+* A table samples some steps of one walk; a window and an item that agree on all
+  of them are candidates. The places of both walks tell where the item would
+  begin, and nearby places share one window of the item's size and the edits
+  allowed around it.
+* k edits spread evenly over n words, which leaves the shortest runs, leave k + 1
+  unchanged runs of (n - k) / (k + 1) words, rounded down or up. A walk from a
+  run's first word that is still in it at the last sampled step (its chance is a
+  binomial sum) is a hit. A table misses the pair if it misses all runs, and
+  tables are added until the product of their misses leaves a recall of RECALL
+  for the n and k of an item. The chances take the random bits of a run's words as
+  independent; items that repeat few words have fewer. Items that have to be
+  exact are sampled within their words only and cannot be missed.
 * Windows with fewer words of their item than the edits allow are skipped; this
   loses none.
 * The rest is verified by the exact edit distance between the item and the best
   stretch of words in the window, many windows at once.
 
 Defined results: the best stretch has the fewest edits, then the earliest end,
-then the latest first word; null and empty texts and items without words match
-nothing; repeated rows give repeated rows; a null doc_id is reported as null;
-further columns are ignored. Items of fewer words than 1 / allowed have to be
-exact.
+then the latest first word; null and empty texts, empty tables and items without
+words match nothing; long texts are searched whole; repeated rows give repeated
+rows; a null doc_id is reported as null; further columns are ignored. Items of
+fewer words than 1 / allowed have to be exact.
 """
 
 from __future__ import annotations
 
+import math
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.shared import byte_view, small_side, steps, stored
-from tripmart.llm.words import word_hashes
+from tripmart.llm.words import mix, word_hashes
 
 #: Edits allowed, as a share of an item's words.
 ALLOWED = 0.2
-#: First words of a piece that are looked up; an unchanged piece has them unchanged.
-LOOKED_UP = 8
-#: Items sent to all tasks at once; more are handled in further passes.
-ITEMS = 20_000
+#: Least chance that a pair at the allowed distance becomes a candidate.
+RECALL = 0.999
+#: Longest run of unchanged words that a walk is fitted to, and steps of a walk.
+RUN, STEPS = 8, 16
+#: Items and bytes of items sent to all tasks at once; more are handled in further passes.
+ITEMS, ITEM_BYTES = 20_000, 8 << 20
 #: Hits expanded and words of windows verified at once.
 HITS, CELLS = 1_000_000, 1_000_000
 
-_TIMES = np.uint64(0x9E3779B97F4A7C15 | 1)
+# Multipliers of the sampled steps.
+_STEP = np.random.default_rng(20240917).integers(1, 2**63, STEPS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _APART = np.zeros(256, bool)
 _APART[:128] = [not chr(i).isalnum() for i in range(128)]
 
@@ -57,32 +73,72 @@ def edits_allowed(size: int, allowed: float) -> int:
     return int(allowed * size + 1e-9)
 
 
-def _sums(words: np.ndarray, most: int):
-    """(length, sums of the words from every place on) for lengths up to ``most``."""
-    total = np.zeros(len(words), np.uint64)
-    for length in range(1, min(most, len(words)) + 1):
-        total = total[: len(words) - length + 1] * _TIMES + words[length - 1 :]
-        yield length, total
-
-
-class Pieces:
-    """Items and places in them by the sum of a piece's words, for one length."""
-
-    def __init__(self, sums: np.ndarray, items: np.ndarray, places: np.ndarray):
-        order = np.argsort(sums, kind="stable")
-        self.sums, first = np.unique(sums[order], return_index=True)
+def sampled(run: int, walk: int, loose: bool) -> tuple[int, ...]:
+    """The steps a table samples of a walk: within a run if its item has to be exact, else of twice as many."""
+    if not loose:
+        return tuple(range(run))
+    steps = min(2 * run, STEPS)
+    random = np.random.default_rng([run, walk])
+    return tuple(sorted(random.choice(steps, run + 1, replace=False).tolist()))
+
+
+def chance_of_a_run(run: int, steps: tuple[int, ...]) -> float:
+    """The chance that a walk is still within its first ``run`` words at the last of the steps."""
+    last = steps[-1]
+    return sum(math.comb(last, moves) for moves in range(min(run, last + 1))) / 2**last
+
+
+@cache
+def tables_of(size: int, most: int) -> tuple[int, int]:
+    """The longest run of words an item surely keeps unchanged, and how many tables reach RECALL."""
+    short, longer = divmod(size - most, most + 1)
+    run = min(RUN, short + (longer > 0))
+    if not most:
+        return run, 1
+    miss, tables = 1.0, 0
+    while miss > 1 - RECALL:
+        steps = sampled(run, tables, True)
+        miss *= (1 - chance_of_a_run(short, steps)) ** (most + 1 - longer) * (1 - chance_of_a_run(short + 1, steps)) ** longer
+        tables += 1
+    return run, tables
+
+
+def _walk(words: np.ndarray, walk: int, wanted: dict):
+    """(name, key, place at its last step) of every name in ``wanted``, whose steps are given, for walks from all words."""
+    ends = {steps[-1] for steps in wanted.values()}
+    bits = mix(words ^ np.uint64((walk + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
+    keys = {name: np.zeros(len(words), np.uint64) for name in wanted}
+    at = np.arange(len(words))
+    for step in range(max(ends) + 1):
+        # Walks past the last word stay there; such keys are dropped by their place.
+        here = np.minimum(at, len(words) - 1)
+        written = words[here]
+        for name, steps in wanted.items():
+            if step in steps:
+                keys[name] += written * _STEP[step]
+                if step == steps[-1]:
+                    yield name, keys.pop(name), at.copy()
+        at += (bits[here] >> np.uint64(step) & np.uint64(1)).astype(np.int64)
+
+
+class Table:
+    """Items and places in them by key."""
+
+    def __init__(self, keys: np.ndarray, items: np.ndarray, places: np.ndarray):
+        order = np.argsort(keys, kind="stable")
+        self.keys, first = np.unique(keys[order], return_index=True)
         self.first = np.r_[first, len(order)]
-        self.items, self.places = items[order], places[order]
-        bits = max(16, int(16 * len(self.sums)).bit_length())
+        self.items, self.places = items[order].astype(np.int32), places[order].astype(np.int32)
+        bits = max(16, int(8 * len(self.keys)).bit_length())
         self.shift = np.uint64(64 - bits)
         self.maybe = np.zeros(1 << bits, bool)
-        self.maybe[self.sums >> self.shift] = True
+        self.maybe[self.keys >> self.shift] = True
 
-    def find(self, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in ``sums`` that are known, and their numbers."""
-        at = np.flatnonzero(self.maybe[sums >> self.shift])
-        number = np.minimum(np.searchsorted(self.sums, sums[at]), len(self.sums) - 1)
-        same = self.sums[number] == sums[at]
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``keys`` that are known, and their numbers."""
+        at = np.flatnonzero(self.maybe[keys >> self.shift])
+        number = np.minimum(np.searchsorted(self.keys, keys[at]), len(self.keys) - 1)
+        same = self.keys[number] == keys[at]
         return at[same], number[same]
 
 
@@ -98,39 +154,41 @@ class Index:
         self.vocabulary, self.numbers = np.unique(flat, return_inverse=True)
         own = np.repeat(np.arange(len(items)), self.sizes)
         self.members = np.unique(own * (len(self.vocabulary) + 1) + self.numbers)
-        lengths, at, holders = [], [], []
-        for i, (n, k) in enumerate(zip(self.sizes.tolist(), self.edits.tolist())):
-            cuts = np.arange(k + 2) * n // (k + 1)
-            lengths.append(np.minimum(np.diff(cuts), LOOKED_UP))
-            at.append(cuts[:-1])
-            holders.append(np.full(k + 1, i))
-        lengths, at, holders = np.concatenate(lengths), np.concatenate(at), np.concatenate(holders)
-        self.longest = int(lengths.max())
-        self.pieces = {}
-        for length, sums in _sums(flat, self.longest):
-            mine = np.flatnonzero(lengths == length)
-            if len(mine):
-                places = at[mine]
-                self.pieces[length] = Pieces(sums[self.first[holders[mine]] + places], holders[mine], places)
+        kinds = [(*tables_of(n, k), k > 0) for n, k in zip(self.sizes.tolist(), self.edits.tolist())]
+        runs, counts, loose = (np.array(x) for x in zip(*kinds))
+        place = np.arange(len(flat)) - self.first[own]
+        self.walks: list[dict] = []
+        self.tables = {}
+        for walk in range(int(counts.max())):
+            names = sorted({(r, l) for r, t, l in kinds if t > walk})
+            wanted = {(r, l): sampled(r, walk, l) for r, l in names}
+            self.walks.append(wanted)
+            for name, keys, at in _walk(flat, walk, wanted):
+                held = (runs == name[0]) & (loose == name[1]) & (counts > walk)
+                inside = at < self.first[own + 1]
+                mine = np.flatnonzero(held[own] & inside & (loose[own] | (place == 0)))
+                if len(mine):
+                    self.tables[walk, name] = Table(keys[mine], own[mine], place[mine])
 
     def hits(self, words: np.ndarray, ends: np.ndarray):
-        """Blocks of (item, place of a piece in ``words``, place in the item)."""
-        for length, sums in _sums(words, self.longest):
-            own = self.pieces.get(length)
-            if own is None:
-                continue
-            at, number = own.find(sums)
-            inside = at + length <= ends[at]
-            at, number = at[inside], number[inside]
-            count = own.first[number + 1] - own.first[number]
-            upto = np.r_[0, np.cumsum(count)]
-            cut = 0
-            while cut < len(at):
-                end = max(cut + 1, int(np.searchsorted(upto, upto[cut] + HITS, side="right")) - 1)
-                many = count[cut:end]
-                each = np.arange(upto[end] - upto[cut]) + np.repeat(own.first[number[cut:end]] - upto[cut:end] + upto[cut], many)
-                yield own.items[each], np.repeat(at[cut:end], many), own.places[each]
-                cut = end
+        """Blocks of (item, place in ``words``, place in the item) that agree in a table."""
+        for walk, wanted in enumerate(self.walks):
+            for name, keys, reached in _walk(words, walk, wanted):
+                own = self.tables.get((walk, name))
+                if own is None:
+                    continue
+                at, number = own.find(keys)
+                inside = reached[at] < ends[at]
+                at, number = at[inside], number[inside]
+                count = own.first[number + 1] - own.first[number]
+                upto = np.r_[0, np.cumsum(count)]
+                cut = 0
+                while cut < len(at):
+                    end = max(cut + 1, int(np.searchsorted(upto, upto[cut] + HITS, side="right")) - 1)
+                    many = count[cut:end]
+                    each = np.arange(upto[end] - upto[cut]) + np.repeat(own.first[number[cut:end]] - upto[cut:end] + upto[cut], many)
+                    yield own.items[each].astype(np.int64), np.repeat(at[cut:end], many), own.places[each].astype(np.int64)
+                    cut = end
 
 
 def best_stretches(items: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -243,14 +301,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, allowed: float = ALLOWED)
     """doc_id, item_id, edits, item_words and first_word of every item found in a document.
 
     ``docs`` has (doc_id, text), ``benchmark`` (item_id, text). Items go to the
-    tasks in passes of at most ITEMS.
+    tasks in passes of some ITEMS items and ITEM_BYTES bytes; a longer item is
+    sent whole.
     """
+    if not 0 <= allowed < 1:
+        raise ValueError(f"allowed is a share below 1, not {allowed}")
     spark = docs.sparkSession
     mine = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = benchmark.where("item_id is not null and text is not null").select(
         F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")
     )
-    passes = max(1, -(-items.count() // ITEMS))
+    count, size = items.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    passes = max(1, -(-count // ITEMS), -(-(size or 0) // ITEM_BYTES))
     result = None
     for number in range(passes):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == number).collect()
