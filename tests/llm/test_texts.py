@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -299,6 +300,28 @@ def test_licence_prefilter_loses_nothing(spark, monkeypatch):
     assert with_it == sorted(rows_of(licenses.find_licenses(docs))) and len(with_it) > len(texts) // 2
 
 
+def test_secrets_long_runs_retries_and_clashing_names(spark, tmp_path):
+    run, part = "a" * 12, "eyJ" + "b" * 12
+    spans = [(m, k, e) for m, k, e in secrets.spans_of(f"x{part}.{part}.{run} eyJ.{part}.{part}.{run}-") if k == 4]
+    assert spans == [(1, 4, 45), (50, 4, 95)]
+    began = time.monotonic()
+    for text in ("eyJ" + "a" * 3_000_000, "eyJaaaaaaaaaaaaa" * 200_000, "eyJaaaaaaaaaaaaa" * 200_000 + ".eyJ" + "a" * 20):
+        assert all(k != 4 for _, k, _ in secrets.spans_of(text))
+    assert time.monotonic() - began < 5
+    docs = docs_of(spark, ["password = abcdef1", "none", "password = abcdef1"])
+    ledger = str(tmp_path / "ledger")
+    first = sorted(rows_of(secrets.scan_secrets(docs, ledger)))
+    spark.read.parquet(ledger).write.mode("append").parquet(str(tmp_path / "again"))
+    spark.read.parquet(str(tmp_path / "again")).write.mode("append").parquet(ledger)
+    assert sorted(rows_of(secrets.scan_secrets(docs, ledger))) == first and len(first) == 3
+    clash = docs.withColumn("starts_", F.lit(1)).withColumn("ENDS_", F.lit(2)).withColumn("blob_", F.lit("b"))
+    out = secrets.redact_secrets(clash)
+    assert out.columns == clash.columns
+    assert sorted((r["doc_id"], r["text"], r["starts_"], r["ENDS_"], r["blob_"]) for r in out.collect()) == [
+        (0, secrets.REDACTED, 1, 2, "b"), (1, "none", 1, 2, "b"), (2, secrets.REDACTED, 1, 2, "b"),
+    ]
+
+
 # Leaks --------------------------------------------------------------------
 
 

@@ -46,7 +46,12 @@ _PEM = re.compile(
     )""".replace("GAP", r"""(?:\s|\\[nrt]|\\(?=\s)|["'>\#|,])*"""),
     re.VERBOSE | re.DOTALL,
 )
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")
+# What follows a run of token characters is looked at once for the run, not again for every eyJ in it.
+_JWT = re.compile(
+    r"""(?<!RUN)(?=RUN++\.eyJ RUN{10,}+\.RUN{10}) RUN*?
+    (eyJ RUN{10,}+\.eyJ RUN{10,}+\.RUN{10,}+)""".replace("RUN", "[A-Za-z0-9_-]"),
+    re.VERBOSE,
+)
 
 _FOUND = "blob binary, kinds array<int>, starts array<int>, ends array<int>"
 _LEDGER = _FOUND + ", rules string"
@@ -65,7 +70,7 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
     if "-----BEGIN" in text:
         out += [(m.start(), 3, m.end()) for m in _PEM.finditer(text)]
     if "eyJ" in text:
-        out += [(m.start(), 4, m.end()) for m in _JWT.finditer(text)]
+        out += [(m.start(1), 4, m.end(1)) for m in _JWT.finditer(text)]
     return sorted(out)
 
 
@@ -89,6 +94,11 @@ def _ledger(spark, path: str | None) -> DataFrame:
     return spark.createDataFrame([], _LEDGER)
 
 
+def _known(spark, path: str | None, rules: str) -> DataFrame:
+    """One row of each blob scanned with these rules; retries and second writers may have added more."""
+    return _ledger(spark, path).where(F.col("rules") == rules).dropDuplicates(["blob"])
+
+
 def scan_secrets(docs: DataFrame, ledger: str | None = None, rules: str = RULES) -> DataFrame:
     """doc_id, blob (hex), kinds, starts and ends of the spans of every row of ``docs``.
 
@@ -101,12 +111,10 @@ def scan_secrets(docs: DataFrame, ledger: str | None = None, rules: str = RULES)
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).withColumn("blob", F.unhex(F.sha2("text", 256)))
-    known = _ledger(spark, ledger).where(F.col("rules") == rules)
-
     paths = stored(addressed.select("doc_id", "blob"), "secrets-paths")
-    unseen = paths.join(known.select("blob"), "blob", "left_anti")
-    # One path of each unseen blob is read again for its text.
-    chosen = unseen.groupBy("blob").agg(F.min("doc_id").alias("chosen"))
+    # One path of each blob, taken within map tasks first, is read again for its text if the blob is unseen.
+    chosen = paths.groupBy("blob").agg(F.min("doc_id").alias("chosen"))
+    chosen = chosen.join(_known(spark, ledger, rules).select("blob"), "blob", "left_anti")
     texts = addressed.join(
         chosen, (addressed.blob == chosen.blob) & addressed.doc_id.eqNullSafe(chosen.chosen), "left_semi"
     )
@@ -116,7 +124,7 @@ def scan_secrets(docs: DataFrame, ledger: str | None = None, rules: str = RULES)
         known = stored(found, "secrets-ledger")
     else:
         found.write.mode("append").parquet(ledger)
-        known = spark.read.schema(_LEDGER).parquet(ledger).where(F.col("rules") == rules)
+        known = _known(spark, ledger, rules)
     return paths.join(known.drop("rules"), "blob").select("doc_id", F.hex("blob").alias("blob"), "kinds", "starts", "ends")
 
 
@@ -149,33 +157,37 @@ def digest(found: DataFrame) -> DataFrame:
 REDACTED = "[REDACTED]"
 
 
-def _redact(batches):
-    for batch in batches:
-        texts = []
-        for text, starts, ends in zip(*(batch.column(c).to_pylist() for c in ("text", "starts_", "ends_"))):
-            if starts:
-                out, at = [], 0
-                for start, end in zip(starts, ends):
-                    if start >= at:
-                        out += [text[at:start], REDACTED]
-                    # A span inside the one before adds nothing, an overlapping one its rest.
-                    at = max(at, end)
-                text = "".join([*out, text[at:]])
-            texts.append(text)
-        names = [n for n in batch.schema.names if n not in ("starts_", "ends_")]
-        columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
-        yield pa.RecordBatch.from_arrays(columns, names)
+def _redact(starts_name: str, ends_name: str):
+    def run(batches):
+        for batch in batches:
+            texts = []
+            for text, starts, ends in zip(*(batch.column(c).to_pylist() for c in ("text", starts_name, ends_name))):
+                if starts:
+                    out, at = [], 0
+                    for start, end in zip(starts, ends):
+                        if start >= at:
+                            out += [text[at:start], REDACTED]
+                        # A span inside the one before adds nothing, an overlapping one its rest.
+                        at = max(at, end)
+                    text = "".join([*out, text[at:]])
+                texts.append(text)
+            names = [n for n in batch.schema.names if n not in (starts_name, ends_name)]
+            columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
+    return run
 
-def redact_secrets(docs: DataFrame, ledger: str | None = None) -> DataFrame:
-    """``docs`` with all spans found replaced in ``text``; all rows and columns stay.
 
-    Columns named starts_, ends_ or blob_ are taken by this step and not allowed.
-    """
-    blob = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+def redact_secrets(docs: DataFrame, ledger: str | None = None) -> DataFrame:
+    """``docs`` with all spans found replaced in ``text``; all rows and columns stay, whatever their names."""
+    taken, mark = {c.lower() for c in docs.columns}, "_"
+    while taken & {name + mark for name in ("blob", "starts", "ends")}:
+        mark += "_"
+    blob, starts, ends = "blob" + mark, "starts" + mark, "ends" + mark
     found = scan_secrets(docs, ledger).where(F.size("kinds") > 0)
     # By content: equal texts have equal spans, also under null or repeated ids.
-    spans = found.select(F.lower("blob").alias("blob_"), F.col("starts").alias("starts_"), F.col("ends").alias("ends_"))
-    spans = small_side(stored(spans.dropDuplicates(["blob_"]), "secrets-spans"))
-    rows = docs.withColumn("blob_", blob).join(spans, "blob_", "left")
-    return rows.select(*[docs[c] for c in docs.columns], "starts_", "ends_").mapInArrow(_redact, docs.schema)
+    spans = found.select(F.lower("blob").alias(blob), F.col("starts").alias(starts), F.col("ends").alias(ends))
+    spans = small_side(stored(spans.dropDuplicates([blob]), "secrets-spans"))
+    content = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+    rows = docs.withColumn(blob, content).join(spans, blob, "left")
+    return rows.select(*docs.columns, starts, ends).mapInArrow(_redact(starts, ends), docs.schema)

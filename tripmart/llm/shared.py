@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -44,6 +45,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Only the GNU C library has this function.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
 _held: dict[tuple, object] = {}
 
 
@@ -54,7 +57,7 @@ def held(key: tuple, make: Callable[[], object]):
     another model, lets go of what it held before.
     """
     if key not in _held:
-        _held.clear()
+        let_go()
         _held[key] = make()
     return _held[key]
 
@@ -62,6 +65,14 @@ def held(key: tuple, make: Callable[[], object]):
 def let_go() -> None:
     """Tasks that keep nothing drop what earlier ones have left in their process."""
     _held.clear()
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, which Arrow and the C library keep otherwise."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def byte_view(column: pa.Array):
@@ -90,6 +101,7 @@ def steps(at, most: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
             end += 1
         yield first, end
         first = end
+    give_back()
 
 
 def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
