@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.shared import byte_view, small_side, steps, stored
+from tripmart.llm.shared import byte_view, let_go, small_side, steps, stored
 from tripmart.llm.words import mix, word_hashes
 
 #: Edits allowed, as a share of an item's words.
@@ -281,6 +281,7 @@ def search(words: np.ndarray, first: np.ndarray, index: Index | None):
 
 def _match(index):
     def run(batches):
+        let_go()
         own = index.value
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
