@@ -15,6 +15,9 @@ from tripmart.session import shared_folder
 
 #: Bytes of text that one vectorised step works on; a longer text is one step of its own.
 STEP_BYTES = 2 << 20
+#: Bytes of a batch that Spark hands to a task's Python process; a longer row is a batch of its own.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Rows of ids or numbers (some 16 bytes each) that may be sent to all tasks.
 BROADCAST_ROWS = 1 << 18
 
@@ -36,7 +39,19 @@ def small_side(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= most else rows
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches of this session by BATCH_BYTES unless they are smaller already.
+
+    Batches are counted in rows otherwise, so that long texts fill the memory of
+    executors on both sides of the pipe. No result depends on where batches end.
+    """
+    size = spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if not 0 < size <= BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     # Tasks import this package from where the driver did, also if it is not installed.
     own = str(Path(__file__).resolve().parents[2])
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
