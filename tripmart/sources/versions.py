@@ -175,7 +175,8 @@ class VersionedTable:
         name = F.concat_ws("/", *[F.concat(F.lit(f"{p}="), F.col(p).cast("string")) for p in self.partitions])
         ends = list(accumulate(wanted.values(), initial=0))
         rows_of = [(part, n, first) for (part, n), first in zip(wanted.items(), ends)]
-        files = self.spark.createDataFrame(rows_of, "part_ string, files_ bigint, first_ bigint")
+        # One line per partition, as on the driver: the rows are not shuffled to meet it.
+        files = F.broadcast(self.spark.createDataFrame(rows_of, "part_ string, files_ bigint, first_ bigint"))
         dealt = (
             rows.withColumn("part_", name)
             .join(files, "part_")
