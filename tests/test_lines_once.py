@@ -78,3 +78,15 @@ def test_delivery_of_a_month_without_lines(spark, folder):
     queries._deliver(spark, SMALL, folder, months)
     empty = spark.read.parquet(f"{folder}/{queries.FILE_PREFIX['green']}_1997-01.parquet")
     assert empty.count() == 0 and empty.dtypes == derived.raw_lines(spark, SMALL, "green").dtypes
+
+
+def test_lines_meet_orders_that_know_their_customer(spark):
+    lines = derived.raw_lines(spark, SMALL, "yellow")._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(i for i, line in enumerate(lines) if "Join" in line and "c_custkey" in line)
+    depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+    below = []
+    for line in lines[at + 1 :]:
+        if len(line) - len(line.lstrip(" :+-")) <= depth:
+            break
+        below.append(line)
+    assert "o_custkey" in "".join(below) and "l_orderkey" not in "".join(below)
