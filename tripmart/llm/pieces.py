@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -29,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.shared import held
+from tripmart.llm.shared import give_back, held
 
 MARK = "▁"
 #: Default place of the public vocabulary; a parameter of the operators.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Characters encoded in one step, and words remembered per task.
-STEP, REMEMBERED = 1 << 20, 1_000_000
+#: Characters encoded in one step, and words remembered per process.
+STEP, REMEMBERED = 1 << 18, 200_000
 
 #: Rank of what is no piece.
 NONE = float("inf")
@@ -83,8 +84,11 @@ class Encoder:
         self.penalty = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10.0
         # Words may be cut before marks only if no piece has a mark after another letter.
         self.cuts = all(MARK not in p.lstrip(MARK) for p in self.ids)
-        self.words: dict[str, tuple[int, ...]] = {}
-        self._pairs: dict[tuple[str, str], bool] = {}
+        # Ids of a word as the bytes of an int32 array; the words before the last turn are kept apart.
+        self.words: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+        self._numbers = {**self.ids, "": len(self.pieces)}
+        self._pairs: dict[int | tuple[str, str], bool] = {}
 
     def merged(self, text: str) -> list[str]:
         """Pieces left by merging the best scored neighbours first, leftmost among equals."""
@@ -105,7 +109,9 @@ class Encoder:
         return parts
 
     def _follows(self, one: str, two: str) -> bool:
-        key = (one, two)
+        first, second = self._numbers.get(one), self._numbers.get(two)
+        # One number takes a third of the memory of two strings.
+        key = (one, two) if first is None or second is None else first * (len(self.pieces) + 1) + second
         known = self._pairs.get(key)
         if known is None:
             if len(self._pairs) > 2_000_000:
@@ -135,7 +141,15 @@ class Encoder:
 
     def learn(self, words) -> None:
         """Encode all new words of an iterable in sorted order."""
-        new = sorted(w for w in words if w not in self.words)
+        new = []
+        for word in words:
+            if word not in self.words:
+                known = self._older.get(word)
+                if known is None:
+                    new.append(word)
+                else:
+                    self.words[word] = known
+        new.sort()
         states: list[tuple[int, float]] = [(0, 0.0)]
         last = ""
         for word in new:
@@ -158,7 +172,7 @@ class Encoder:
                 else:
                     out.append(self.unknown)
                 end -= n
-            self.words[word] = tuple(reversed(out))
+            self.words[word] = array("i", reversed(out)).tobytes()
             last = word
 
     def split(self, text: str) -> list[str]:
@@ -169,11 +183,12 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.split(t) for t in texts]
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
+        if len(self.words) > REMEMBERED // 2:
+            # Words met since the last turn stay, the others go.
+            self._older, self.words = self.words, {}
         self.learn(set(chain.from_iterable(split)))
         get = self.words.__getitem__
-        return [np.fromiter(chain.from_iterable(map(get, words)), np.int32) for words in split]
+        return [np.frombuffer(b"".join(map(get, words)), np.int32) for words in split]
 
     def decode(self, ids: np.ndarray) -> str:
         own = ids.tolist()
@@ -227,6 +242,7 @@ def _encode(vocabulary, unigram: bool):
                     ["doc_id", "ids", "n_pieces", "decoded_sha256", "exact"],
                 )
                 first += len(own)
+            give_back()
 
     return run
 
