@@ -2,9 +2,10 @@
 
 Texts are marked as SentencePiece does (a leading and inner mark for blanks)
 and cut before each run of marks, which no piece crosses. The distinct words
-of a step are sorted; walking them in this order is the depth-first traversal
-of their trie. Every depth of the path keeps its forward state, so a word
-starts from the state of the prefix it shares with the word before it.
+of a step are sorted, which makes them the leaves of their trie in order: a
+word starts from the state of the prefix it shares with the word before it.
+The forward pass of merge models takes all prefixes of one length at a time as
+arrays; long words and unigram models walk the trie depth first, word by word.
 
 The forward state of a prefix is the piece that ends its encoding. For unigram
 models this is the piece of the best sum of scores. A merge (BPE) model's
@@ -38,8 +39,13 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters encoded in one step, and words remembered per process.
 STEP, REMEMBERED = 1 << 18, 200_000
 
-#: Rank of what is no piece.
+#: Letters of a word that is encoded together with others, words encoded together, and pairs of pieces
+#: remembered per process.
+TOGETHER, GROUP, PAIRS = 48, 1 << 14, 2_000_000
+
+#: Rank of what is no piece, and the key that ends a sorted list of keys.
 NONE = float("inf")
+_END = np.iinfo(np.int64).max
 
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -78,9 +84,11 @@ class Encoder:
             if len(piece) > 1:
                 ends.setdefault(piece[-2:], set()).add(len(piece))
         self.lengths = {e: (*sorted(n, reverse=True), 1) for e, n in ends.items()}
-        is_byte = np.zeros(len(self.pieces), bool)
-        is_byte[list(self.bytes.values())] = True
-        self.is_byte = is_byte
+        # Bytes below 128 are letters wherever they stand, others need their neighbours.
+        self.is_part = np.zeros(len(self.pieces), bool)
+        self.is_part[[i for b, i in self.bytes.items() if b >= 128]] = True
+        letters = {i: chr(b) for b, i in self.bytes.items() if b < 128}
+        self._spellings = [letters.get(i, p) for i, p in enumerate(self.pieces)]
         self.penalty = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10.0
         # Words may be cut before marks only if no piece has a mark after another letter.
         self.cuts = all(MARK not in p.lstrip(MARK) for p in self.ids)
@@ -89,6 +97,36 @@ class Encoder:
         self._older: dict[str, bytes] = {}
         self._numbers = {**self.ids, "": len(self.pieces)}
         self._pairs: dict[int | tuple[str, str], bool] = {}
+        # The same as sorted numbers, for words encoded together, and what came to them in this step.
+        self._keys, self._fits, self._fresh = np.array([_END]), np.zeros(1, bool), dict[int, bool]()
+        if not unigram:
+            self._plant()
+
+    def _plant(self) -> None:
+        """The trie of the pieces read backwards, its edges as sorted keys (node, letter)."""
+        alphabet = sorted(p for p in self.ids if len(p) == 1)
+        code = {c: i for i, c in enumerate(alphabet, 1)}
+        # Letters as small numbers. The last is that of letters in no piece, 0 that of letters in longer ones only.
+        used = [ord(c) for c in set(chain.from_iterable(self.ids))]
+        self._letters = len(alphabet) + 2
+        self._codes = np.full(max(used, default=0) + 2, self._letters - 1, np.int32)
+        self._codes[used] = [code.get(chr(c), 0) for c in used]
+        edges: dict[int, int] = {}
+        ends = [-1]
+        for piece, own in self.ids.items():
+            if all(c in code for c in piece):
+                node = 0
+                for c in reversed(piece):
+                    child = edges.setdefault(node * self._letters + code[c], len(ends))
+                    if child == len(ends):
+                        ends.append(-1)
+                    node = child
+                ends[node] = own
+        self._edges = np.array([*sorted(edges), _END])
+        self._children = np.array([*(edges[k] for k in sorted(edges)), 0])
+        # The piece that is spelled on the way to a node, or -1.
+        self._ends = np.array(ends, np.int32)
+        self._longest = max(map(len, self.ids), default=1)
 
     def merged(self, text: str) -> list[str]:
         """Pieces left by merging the best scored neighbours first, leftmost among equals."""
@@ -114,7 +152,7 @@ class Encoder:
         key = (one, two) if first is None or second is None else first * (len(self.pieces) + 1) + second
         known = self._pairs.get(key)
         if known is None:
-            if len(self._pairs) > 2_000_000:
+            if len(self._pairs) > PAIRS:
                 self._pairs.clear()
             known = self._pairs[key] = self.merged(one + two) == ([one, two] if one else [two])
         return known
@@ -139,6 +177,118 @@ class Encoder:
                 return n, 0.0
         return best or (1, 0.0)
 
+    def _spelled(self, letter: str) -> list[int]:
+        """The ids of a letter that is no piece."""
+        return [self.bytes[b] for b in letter.encode("utf-8", "replace")] if self.bytes else [self.unknown]
+
+    def _follow(self, keys: np.ndarray) -> np.ndarray:
+        """Of each key (piece before, piece), whether the one may follow the other."""
+        at = np.searchsorted(self._keys, keys)
+        fits = self._fits[at]
+        for j in np.flatnonzero(self._keys[at] != keys).tolist():
+            key = int(keys[j])
+            known = self._fresh.get(key)
+            if known is None:
+                first, second = divmod(key, len(self.pieces) + 1)
+                two = self.pieces[second]
+                one = self.pieces[first] if first < len(self.pieces) else ""
+                known = self._fresh[key] = self.merged(one + two) == ([one, two] if one else [two])
+            fits[j] = known
+        return fits
+
+    def _keep_pairs(self) -> None:
+        """Sort the pairs of this step into the others."""
+        if len(self._keys) + len(self._fresh) > PAIRS:
+            self._keys, self._fits = self._keys[-1:], self._fits[-1:]
+        new = np.array(sorted(self._fresh), np.int64)
+        at = np.searchsorted(self._keys, new)
+        self._fits = np.insert(self._fits, at, [self._fresh[k] for k in new.tolist()])
+        self._keys = np.insert(self._keys, at, new)
+        self._fresh = {}
+
+    def _pieces_ending(self, letters: np.ndarray, word: np.ndarray, depth: np.ndarray) -> np.ndarray:
+        """For each length less one, the piece that ends in each node of the words' trie, or -1."""
+        found = np.full((self._longest, len(word)), -1, np.int32)
+        nodes, state = np.arange(len(word)), np.zeros(len(word), np.int64)
+        for n in range(self._longest):
+            inside = depth[nodes] >= n
+            nodes, state = nodes[inside], state[inside]
+            keys = state * self._letters + letters[word[nodes], depth[nodes] - n]
+            at = np.searchsorted(self._edges, keys)
+            known = self._edges[at] == keys
+            nodes, state = nodes[known], self._children[at[known]]
+            if not len(nodes):
+                break
+            found[n, nodes] = self._ends[state]
+        return found
+
+    def _learn_together(self, words: list[str]) -> list[str]:
+        """Encode words given in sorted order, one length of prefixes after the other; those left out."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = self._codes[np.minimum(points, len(self._codes) - 1)]
+        fit = (np.minimum.reduceat(codes, np.cumsum(sizes) - sizes) > 0) & (sizes <= TOGETHER)
+        mine = [words[i] for i in np.flatnonzero(fit).tolist()]
+        rest = [words[i] for i in np.flatnonzero(~fit).tolist()]
+        if not mine:
+            return rest
+        codes, sizes = codes[np.repeat(fit, sizes)], sizes[fit]
+        letters = np.zeros((len(mine), int(sizes.max())), np.int32)
+        letters[np.arange(letters.shape[1]) < sizes[:, None]] = codes
+        # A prefix is a node of the words' trie, numbered from 1 by length and word; 0 is the empty one.
+        shared = np.zeros(len(mine), np.int64)
+        shared[1:] = (letters[1:] != letters[:-1]).argmax(axis=1)
+        depths = np.arange(letters.shape[1])[:, None]
+        new = (depths >= shared) & (depths < sizes)
+        node = np.zeros((letters.shape[1] + 1, len(mine)), np.int64)
+        node[1:] = np.cumsum(new).reshape(new.shape)
+        depth, word = np.nonzero(new)
+        found = self._pieces_ending(letters, word, depth)
+        # Length and number of the piece that ends the encoding of each prefix. What follows
+        # a letter in no piece is encoded as at the beginning.
+        none = len(self.pieces)
+        length, last = np.zeros(len(word) + 1, np.int64), np.full(len(word) + 1, none)
+        bounds = np.searchsorted(depth, np.arange(letters.shape[1] + 1)).tolist()
+        for d, (first, end) in enumerate(zip(bounds[:-1], bounds[1:])):
+            open_ = np.arange(first, end)
+            length[first + 1 : end + 1] = 1
+            last[first + 1 : end + 1] = np.where(found[0, first:end] < 0, none, found[0, first:end])
+            for n in range(min(self._longest - 1, d), 0, -1):
+                hit = np.flatnonzero(found[n, open_] >= 0)
+                if len(hit):
+                    rows = open_[hit]
+                    piece = found[n, rows]
+                    before = last[node[d - n, word[rows]]]
+                    fits = self._follow(before * (none + 1) + piece)
+                    length[rows[fits] + 1], last[rows[fits] + 1] = n + 1, piece[fits]
+                    open_ = np.delete(open_, hit[fits])
+        # Pieces of all words at once, from their ends.
+        rows, ends = np.arange(len(mine)), sizes.copy()
+        turns = []
+        while len(rows):
+            at = node[ends[rows], rows]
+            turns.append((rows, last[at]))
+            ends[rows] -= length[at]
+            rows = rows[ends[rows] > 0]
+        counts = np.bincount(np.concatenate([r for r, _ in turns]), minlength=len(mine))
+        stops = np.cumsum(counts)
+        out = np.zeros(int(stops[-1]), np.int32)
+        for turn, (rows, own) in enumerate(turns, 1):
+            out[stops[rows] - turn] = own
+        raw = out.tobytes()
+        stops = [0, *(4 * stops).tolist()]
+        self.words.update((w, raw[a:b]) for w, a, b in zip(mine, stops[:-1], stops[1:]))
+        for i in np.unique(np.nonzero(letters == self._letters - 1)[0]).tolist():
+            strange = [c for c in mine[i] if c not in self.ids]
+            own = array("i", self.words[mine[i]])
+            for letter in reversed(strange):
+                at = len(own) - 1 - own[::-1].index(none)
+                own[at : at + 1] = array("i", self._spelled(letter))
+            self.words[mine[i]] = own.tobytes()
+        if self._fresh:
+            self._keep_pairs()
+        return rest
+
     def learn(self, words) -> None:
         """Encode all new words of an iterable in sorted order."""
         new = []
@@ -150,6 +300,8 @@ class Encoder:
                 else:
                     self.words[word] = known
         new.sort()
+        if new and new[0] and not self.unigram:
+            new = [w for first in range(0, len(new), GROUP) for w in self._learn_together(new[first : first + GROUP])]
         states: list[tuple[int, float]] = [(0, 0.0)]
         last = ""
         for word in new:
@@ -167,10 +319,8 @@ class Encoder:
                 own = self.ids.get(piece)
                 if own is not None:
                     out.append(own)
-                elif self.bytes:
-                    out += [self.bytes[b] for b in reversed(piece.encode("utf-8", "replace"))]
                 else:
-                    out.append(self.unknown)
+                    out += reversed(self._spelled(piece))
                 end -= n
             self.words[word] = array("i", reversed(out)).tobytes()
             last = word
@@ -192,8 +342,8 @@ class Encoder:
 
     def decode(self, ids: np.ndarray) -> str:
         own = ids.tolist()
-        if not self.is_byte[ids].any():
-            return "".join(map(self.pieces.__getitem__, own)).replace(MARK, " ")[1:]
+        if not self.is_part[ids].any():
+            return "".join(map(self._spellings.__getitem__, own)).replace(MARK, " ")[1:]
         out, held = [], b""
         for i in own:
             byte = self.byte_of.get(i)
